@@ -8,6 +8,7 @@ from tallyline.functions.text import (
     normalize_text,
     normalize_token,
     similarity,
+    similarity_sql,
 )
 from tallyline.functions.values import (
     currency,
@@ -16,6 +17,7 @@ from tallyline.functions.values import (
     record_hash,
     safe_date,
     weighted_score,
+    weighted_score_sql,
 )
 
 __all__ = [
@@ -31,5 +33,7 @@ __all__ = [
     "record_hash",
     "safe_date",
     "similarity",
+    "similarity_sql",
     "weighted_score",
+    "weighted_score_sql",
 ]

@@ -52,8 +52,14 @@ def batch_date_from_path(path: Column | str) -> Column:
     return F.regexp_extract(as_column(path), BATCH_DATE_PATTERN, 1)
 
 
-def similarity(left: Column | str, right: Column | str) -> Column:
+def similarity_sql(left: str, right: str) -> str:
     """``1 - edit distance / longer length`` to four places; two empty strings are equal."""
+    longer = f"greatest(length({left}), length({right}))"
+    return f"CASE WHEN {longer} = 0 THEN 1.0D ELSE round(1 - levenshtein({left}, {right}) / {longer}, 4) END"
+
+
+def similarity(left: Column | str, right: Column | str) -> Column:
+    """The same for columns."""
     a, b = as_column(left), as_column(right)
     longer = F.greatest(F.length(a), F.length(b))
     return F.when(longer == 0, F.lit(1.0)).otherwise(F.round(1 - F.levenshtein(a, b) / longer, 4))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,17 +37,20 @@ def outstanding(amount: Column | str, paid: Column | str) -> Column:
     return F.round(as_column(amount) - as_column(paid), 2)
 
 
-def weighted_score(parts: Mapping[Column, float] | Iterable[tuple[Column, float]], renormalize: bool = True) -> Column:
-    """Weighted mean of part scores to four places.
+def weighted_score_sql(parts: Iterable[tuple[str, float]], renormalize: bool = True) -> str:
+    """Weighted mean of part scores, given as SQL, to four places.
 
     With ``renormalize`` a NULL part takes no share of the weight, so a record is judged on the
-    evidence that exists; without it the plain weighted sum is returned.
+    evidence that exists (0 when there is none); without it the plain weighted sum is returned.
     """
-    pairs = list(parts.items()) if isinstance(parts, Mapping) else list(parts)
-    total = weight = F.lit(0.0)
-    for score, share in pairs:
-        total = total + F.coalesce(score * F.lit(share), F.lit(0.0))
-        weight = weight + F.when(score.isNotNull(), F.lit(share)).otherwise(F.lit(0.0))
+    parts = list(parts)
+    total = " + ".join(f"coalesce({score} * {share}D, 0.0D)" for score, share in parts)
     if not renormalize:
-        return F.round(total, 4)
-    return F.when(weight > 0, F.round(total / weight, 4)).otherwise(F.lit(0.0))
+        return f"round({total}, 4)"
+    weight = " + ".join(f"CASE WHEN {score} IS NULL THEN 0.0D ELSE {share}D END" for score, share in parts)
+    return f"CASE WHEN {weight} > 0 THEN round(({total}) / ({weight}), 4) ELSE 0.0D END"
+
+
+def weighted_score(parts: Iterable[tuple[str, float]], renormalize: bool = True) -> Column:
+    """The same over column names."""
+    return F.expr(weighted_score_sql(parts, renormalize))

@@ -17,23 +17,21 @@ from tallyline.operators.skew import hot_keys, skew_join
 
 
 def prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select([F.col(f"`{c}`").alias(prefix + c) for c in df.columns])
+    return df.toDF(*[prefix + c for c in df.columns])
 
 
-def key_entries(df: DataFrame, keys: Sequence[Column | str], rank: str = "_rank", value: str = "_value") -> DataFrame:
-    """One row per filled key: its position in ``keys`` and its value. Blank keys give no row."""
-    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
-    entries = F.array(
-        *[
-            F.when(~is_blank(c), F.struct(F.lit(i).alias("rank"), c.cast("string").alias("value")))
-            for i, c in enumerate(columns)
-        ]
-    )
-    return (
-        df.withColumn("_entry", F.explode(F.array_compact(entries)))
-        .withColumns({rank: F.col("_entry.rank"), value: F.col("_entry.value")})
-        .drop("_entry")
+def filled_sql(column: str) -> str:
+    return f"coalesce(trim(CAST(`{column}` AS STRING)), '') <> ''"
+
+
+def key_entries(df: DataFrame, keys: Sequence[str], ranks: Sequence[int] | None = None) -> DataFrame:
+    """One row per filled key: ``_rank``, its place in ``keys``, and ``_value``. Blank keys give no row."""
+    ranks = range(len(keys)) if ranks is None else ranks
+    entries = ", ".join(
+        f"CASE WHEN {filled_sql(k)} THEN struct({r} AS rank, CAST(`{k}` AS STRING) AS value) END"
+        for r, k in zip(ranks, keys)
     )
+    return df.selectExpr("*", f"inline(array_compact(array({entries}))) AS (_rank, _value)")
 
 
 def any_key_join(
@@ -48,31 +46,33 @@ def any_key_join(
 
     Columns come out as ``l_*`` and ``r_*``. A pair that agrees on several keys is kept only where
     it meets on the first of them, so pairs are unique without a distinct over the result.
-    ``how="left"`` keeps unmatched left rows and needs a unique ``left_id``.
+    ``how="left"`` keeps unmatched left rows and needs a unique ``left_id``. ``left`` is read more
+    than once: pass a stored table, not a long plan.
     """
+    r_names = [f"r_{c}" for c in right.columns]
     if how == "left":
         if left_id is None:
             raise ValueError("a left any_key_join needs left_id")
         needed = list(dict.fromkeys([left_id, *within, *keys]))
         pairs = any_key_join(left.select(*needed), right, keys, within)
-        found = pairs.select(f"l_{left_id}", *[f"r_{c}" for c in right.columns])
+        found = pairs.select(f"l_{left_id}", *r_names)
         return prefixed(left, "l_").join(found, f"l_{left_id}", "left")
 
-    lefts = key_entries(prefixed(left, "l_"), [f"l_{k}" for k in keys])
-    rights = key_entries(prefixed(right, "r_"), [f"r_{k}" for k in keys])
+    lefts, rights = prefixed(left, "l_"), prefixed(right, "r_")
+    l_names = lefts.columns
     for c in within:
-        lefts = lefts.where(~is_blank(f"l_{c}")).withColumn(f"_w_{c}", F.col(f"l_{c}"))
-        rights = rights.where(~is_blank(f"r_{c}")).withColumn(f"_w_{c}", F.col(f"r_{c}"))
-    met = skew_join(lefts, rights, ["_rank", "_value", *[f"_w_{c}" for c in within]])
-    first = F.coalesce(
-        *[
-            F.when(~is_blank(f"l_{k}") & (F.col(f"l_{k}").cast("string") == F.col(f"r_{k}").cast("string")), i)
-            for i, k in enumerate(keys)
-        ]
+        lefts = lefts.where(filled_sql(f"l_{c}")).withColumn(f"_w_{c}", F.col(f"l_{c}"))
+        rights = rights.where(filled_sql(f"r_{c}")).withColumn(f"_w_{c}", F.col(f"r_{c}"))
+    met = skew_join(
+        key_entries(lefts, [f"l_{k}" for k in keys]),
+        key_entries(rights, [f"r_{k}" for k in keys]),
+        ["_rank", "_value", *[f"_w_{c}" for c in within]],
     )
-    return met.where(first == F.col("_rank")).select(
-        *[f"l_{c}" for c in left.columns], *[f"r_{c}" for c in right.columns]
+    first = " ".join(
+        f"WHEN {filled_sql(f'l_{k}')} AND CAST(`l_{k}` AS STRING) = CAST(`r_{k}` AS STRING) THEN {i}"
+        for i, k in enumerate(keys)
     )
+    return met.where(f"CASE {first} END = _rank").select(*l_names, *r_names)
 
 
 def priority_join(

@@ -8,15 +8,15 @@ with the distinct names of their key, which travel as bounded arrays.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions import similarity, weighted_score
+from tallyline.functions import similarity_sql, weighted_score_sql
 from tallyline.operators.joins import key_entries
-from tallyline.operators.skew import MAX_HOT_KEYS, hot_keys, skew_join
+from tallyline.operators.skew import MAX_HOT_KEYS, hot_keys, names_sql, skew_join
 
 # Distinct right-hand names held in one array row.
 BLOCK_SIZE = 2048
@@ -51,20 +51,8 @@ class MatchSpec:
                 raise ValueError(f"{d.name}: exact must be {d.column} or {self.levels[0]}")
 
 
-def _equal(left: Column, right: Column) -> Column:
-    return F.coalesce((left != "") & (left == right), F.lit(False))
-
-
-def _text(df: DataFrame, name: str) -> Column:
-    """The column as text, blank where it is NULL or absent."""
-    return F.coalesce(F.col(name).cast("string"), F.lit("")) if name in df.columns else F.lit("")
-
-
-def _scored_parts(parts: Sequence[Column]) -> Column:
-    total = F.lit(0)
-    for p in parts:
-        total = total + F.when(p.isNotNull(), 1).otherwise(0)
-    return total
+def _count_parts(parts: Sequence[str]) -> str:
+    return " + ".join(f"CASE WHEN {p} IS NULL THEN 0 ELSE 1 END" for p in parts)
 
 
 def score_pairs(pairs: DataFrame, spec: MatchSpec, compare_blanks: bool = False) -> DataFrame:
@@ -74,68 +62,67 @@ def score_pairs(pairs: DataFrame, spec: MatchSpec, compare_blanks: bool = False)
     is left out and the weights of the others are scaled up; ``compare_blanks`` scores blanks as
     empty strings and keeps the weights as they are.
     """
+    present = set(pairs.columns)
 
-    def sides(name: str) -> tuple[Column, Column]:
-        return _text(pairs, f"l_{name}"), _text(pairs, f"r_{name}")
+    def sides(name: str) -> tuple[str, str]:
+        return tuple(
+            f"coalesce(CAST({p}{name} AS STRING), '')" if p + name in present else "''" for p in ("l_", "r_")
+        )
+
+    def equal(name: str) -> str:
+        a, b = sides(name)
+        return f"({a} <> '' AND {a} = {b})"
 
-    level = F.lit(NO_MATCH)
+    levels = [f"WHEN {equal(k)} THEN {i + 1}" for i, k in enumerate(spec.levels)]
     if spec.fuzzy:
-        near = F.lit(True)
+        near = []
         for column, least in spec.fuzzy:
             a, b = sides(column)
-            near = near & (similarity(a, b) >= least)
+            near.append(f"{similarity_sql(a, b)} >= {least}D")
             if not compare_blanks:
-                near = near & (a != "") & (b != "")
-        level = F.when(near, F.lit(len(spec.levels) + 1)).otherwise(level)
-    for i in reversed(range(len(spec.levels))):
-        level = F.when(_equal(*sides(spec.levels[i])), F.lit(i + 1)).otherwise(level)
-
-    scores = {}
+                near.append(f"{a} <> '' AND {b} <> ''")
+        levels.append(f"WHEN {' AND '.join(near)} THEN {len(spec.levels) + 1}")
+    scores = []
     for d in spec.dimensions:
         a, b = sides(d.column)
-        close = similarity(a, b) if compare_blanks else F.when((a != "") & (b != ""), similarity(a, b))
-        scores[f"{d.name}_match_score"] = F.when(_equal(*sides(d.exact or d.column)), F.lit(1.0)).otherwise(close)
-    scored = pairs.withColumns({"match_level": level, **scores}).where(F.col("match_level") < NO_MATCH)
-    parts = [F.col(name) for name in scores]
-    weights = [d.weight for d in spec.dimensions]
-    return scored.withColumns(
-        {
-            "scored_dims": _scored_parts(parts),
-            "overall_match_confidence": weighted_score(list(zip(parts, weights)), renormalize=not compare_blanks),
-        }
+        close = similarity_sql(a, b)
+        if not compare_blanks:
+            close = f"CASE WHEN {a} <> '' AND {b} <> '' THEN {close} END"
+        scores.append(f"CASE WHEN {equal(d.exact or d.column)} THEN 1.0D ELSE {close} END AS {d.name}_match_score")
+    parts = [f"{d.name}_match_score" for d in spec.dimensions]
+    weighted = list(zip(parts, [d.weight for d in spec.dimensions]))
+    return (
+        pairs.selectExpr("*", f"CASE {' '.join(levels)} ELSE {NO_MATCH} END AS match_level", *scores)
+        .where(f"match_level < {NO_MATCH}")
+        .selectExpr(
+            "*",
+            f"{_count_parts(parts)} AS scored_dims",
+            f"{weighted_score_sql(weighted, not compare_blanks)} AS overall_match_confidence",
+        )
     )
 
 
-def _best_of(spec: MatchSpec, names: Sequence[str], members: Column) -> Column:
-    """The best of an array of right rows for the current left row, as a struct whose smallest is best.
+def _best_of(spec: MatchSpec, names: Sequence[str], members: str) -> str:
+    """SQL for the best of an array of right rows, as a struct whose smallest is best.
 
     Part scores are computed in a first pass over the array, so that each similarity is worked out once.
     """
-    top = spec.levels[0]
-    weights = [d.weight for d in spec.dimensions]
-
-    def parts_of(x: Column) -> Column:
-        parts = []
-        for d in spec.dimensions:
-            part = F.lit(None).cast("double")
-            if d.column in names:
-                a, b = F.col(f"_n_{d.column}"), x[f"_n_{d.column}"]
-                part = F.when((a != "") & (b != ""), F.when(a == b, F.lit(1.0)).otherwise(similarity(a, b)))
-            if d.exact == top and d.exact != d.column:
-                part = F.when(F.col("_rank") == 1, F.lit(1.0)).otherwise(part)
-            parts.append(part.alias(f"{d.name}_match_score"))
-        return F.struct(F.struct(*parts).alias("parts"), x["_right"].alias("_right"))
-
-    def rank(x: Column) -> Column:
-        parts = [x["parts"][f"{d.name}_match_score"] for d in spec.dimensions]
-        return F.struct(
-            (-weighted_score(list(zip(parts, weights)))).alias("loss"),
-            (-_scored_parts(parts)).alias("gaps"),
-            x["_right"].alias("_right"),
-            x["parts"].alias("parts"),
-        )
-
-    return F.array_min(F.transform(F.transform(members, parts_of), rank))
+    scores = []
+    for d in spec.dimensions:
+        score = "CAST(NULL AS DOUBLE)"
+        if d.column in names:
+            a, b = f"_n_{d.column}", f"x._n_{d.column}"
+            score = f"CASE WHEN {a} = '' OR {b} = '' THEN NULL WHEN {a} = {b} THEN 1.0D ELSE {similarity_sql(a, b)} END"
+        if d.exact == spec.levels[0] and d.exact != d.column:
+            score = f"CASE WHEN _rank = 1 THEN 1.0D ELSE {score} END"
+        scores.append(f"{score} AS {d.name}_match_score")
+    parts = [f"y.parts.{d.name}_match_score" for d in spec.dimensions]
+    confidence = weighted_score_sql(list(zip(parts, [d.weight for d in spec.dimensions])))
+    scored = f"transform({members}, x -> struct(struct({', '.join(scores)}) AS parts, x._right AS _right))"
+    return (
+        f"array_min(transform({scored}, y -> struct(-({confidence}) AS loss, -({_count_parts(parts)}) AS gaps, "
+        "y._right AS _right, y.parts AS parts)))"
+    )
 
 
 def best_match(
@@ -145,6 +132,7 @@ def best_match(
     left_id: str,
     right_order: Sequence[Column],
     block_size: int = BLOCK_SIZE,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Per ``left_id`` the best candidate: level, then confidence, then parts scored, then ``right_order``.
 
@@ -157,105 +145,88 @@ def best_match(
     3. Only left rows without one are compared with the names of their key. Those names lie in
        arrays of about ``block_size``, so a crowded key is spread over many rows and tasks and no
        pair is ever a row. Equal probes are compared once.
+
+    ``stage`` may store an intermediate table that is used several times (see sources.staged).
     """
     both = [c for c in left.columns if c in right.columns]
     names = list(dict.fromkeys(d.column for d in spec.dimensions if d.column in both))
     levels = [c for c in spec.levels if c in both]
-    rank_numbers = F.array(*[F.lit(spec.levels.index(c) + 1) for c in levels])
+    ranks = [spec.levels.index(c) + 1 for c in levels]
     l_cols, r_cols = [f"l_{c}" for c in left.columns], [f"r_{c}" for c in right.columns]
     n_cols = [f"_n_{c}" for c in names]
+    key = ["_rank", "_value"]
 
-    def entries(df: DataFrame, prefix: str, extra: Sequence[Column] = ()) -> DataFrame:
+    def entries(df: DataFrame, prefix: str) -> DataFrame:
         """One row per filled key, with the names as text."""
-        shaped = df.select(
-            *[F.col(f"`{c}`").alias(prefix + c) for c in df.columns],
-            *[_text(df, c).alias(f"_n_{c}") for c in names],
-            *extra,
-        )
-        ranked = key_entries(shaped, [f"{prefix}{c}" for c in levels])
-        return ranked.withColumn("_rank", F.element_at(rank_numbers, F.col("_rank") + 1))
+        as_text = [f"coalesce(CAST(`{prefix}{c}` AS STRING), '') AS _n_{c}" for c in names]
+        return key_entries(df.selectExpr("*", *as_text), [prefix + c for c in levels], ranks)
 
-    named = F.lit(True)
-    for c in n_cols:
-        named = named & (F.col(c) != "")
+    named = " AND ".join(f"{c} <> ''" for c in n_cols) or "true"
     # JSON never equals the empty string that stands for "whatever the names"
-    all_names = F.to_json(F.struct(*n_cols)) if names else F.lit("{}")
+    all_names = f"to_json(struct({', '.join(n_cols)}))" if names else "'{}'"
 
+    order = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(right_order)]).alias("_order")
+    rights = entries(right.select("*", order).toDF(*r_cols, "_order"), "r_")
+    lefts = entries(left.toDF(*l_cols), "l_")
     # keys crowded on either side, found in one pass each and used by all the joins below
-    key = ["_rank", "_value"]
-    crowded_left = hot_keys(entries(left, "l_"), key)
-    crowded_right = hot_keys(entries(right, "r_"), key)
+    crowded_left, crowded_right = hot_keys(lefts, key), hot_keys(rights, key)
 
     # 1. one right row per level, key and names
-    order = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(right_order)]).alias("_order")
-    representatives = (
-        entries(right, "r_", [order])
-        .groupBy(*key, *n_cols)
-        .agg(F.min(F.struct("_order", *r_cols)).alias("_right"))
-    )
+    representatives = rights.groupBy(*key, *n_cols).agg(F.expr(f"min(struct(_order, {names_sql(r_cols)})) AS _right"))
 
     # 2. lowest level per left row, with an equal right row where there is one
-    equals = representatives.where(named).select(*key, all_names.alias("_name"), "_right")
-    keys = representatives.groupBy("_rank", "_value").agg(F.count("_right").alias("_size"))
-    targets = equals.unionByName(keys.withColumn("_name", F.lit("")), allowMissingColumns=True)
-    wanted = F.when(named, F.array(all_names, F.lit(""))).otherwise(F.array(F.lit("")))
-    probes = entries(left, "l_").withColumn("_name", F.explode(wanted))
-    nearest = (
+    equals = representatives.where(named).selectExpr(*key, f"{all_names} AS _name", "_right")
+    sizes = representatives.groupBy(*key).agg(F.expr("count(_right) AS _size")).selectExpr(*key, "'' AS _name", "_size")
+    targets = equals.unionByName(sizes, allowMissingColumns=True)
+    probes = lefts.selectExpr("*", f"explode(CASE WHEN {named} THEN array({all_names}, '') ELSE array('') END) AS _name")
+    nearest = stage(
         skew_join(probes, targets, [*key, "_name"], hot=crowded_left, hot_on=key)
         .groupBy(*l_cols, *n_cols)
-        .agg(F.min(F.struct("_rank", F.col("_right").isNull().alias("_open"), "_value", "_size", "_right")).alias("_hit"))
-        .select(*l_cols, *n_cols, "_hit.*")
-    )
-    settled = nearest.where(~F.col("_open")).select(
-        *l_cols, "_rank", _best_of(spec, names, F.array(F.struct(*n_cols, "_right"))).alias("_best")
+        .agg(F.expr("min(struct(_rank, _right IS NULL AS _open, _value, _size, _right)) AS _hit"))
+        .selectExpr(*l_cols, *n_cols, "_hit.*")
     )
+    itself = f"array(struct({', '.join([*n_cols, '_right'])}))"
+    settled = nearest.where("NOT _open").selectExpr(*l_cols, "_rank", f"{_best_of(spec, names, itself)} AS _best")
+    every = settled
 
     # 3. the others against the names of their key, a block of names at a time
-    open_rows = nearest.where("_open")
-    open_probes = open_rows.select(*key, "_size", *n_cols).distinct()
-    open_keys = open_probes.select(*key, "_size").distinct()
-    block = F.pmod(F.xxhash64(*n_cols) if n_cols else F.lit(0), F.ceil(F.col("_size") / block_size))
-    blocks = (
-        skew_join(representatives, open_keys, key, hot=crowded_right)
-        .groupBy(*key, block.alias("_block"))
-        .agg(F.collect_list(F.struct(*n_cols, "_right")).alias("_members"))
-        .drop("_block")
-    )
-    compared = (
-        skew_join(open_probes.drop("_size"), blocks, key, salts=16, hot=crowded_left)
-        .select(*key, *n_cols, _best_of(spec, names, F.col("_members")).alias("_best"))
-        .groupBy(*key, *n_cols)
-        .agg(F.min("_best").alias("_best"))
-    )
-    searched = skew_join(
-        open_rows.select(*l_cols, *key, *n_cols), compared, [*key, *n_cols], hot=crowded_left, hot_on=key
-    ).select(*l_cols, "_rank", "_best")
+    if names:
+        open_rows = nearest.where("_open")
+        open_probes = open_rows.select(*key, "_size", *n_cols).distinct()
+        open_keys = open_probes.select(*key, "_size").distinct()
+        blocks = (
+            skew_join(representatives, open_keys, key, hot=crowded_right)
+            .selectExpr("*", f"pmod(xxhash64({', '.join(n_cols)}), ceil(_size / {block_size})) AS _block")
+            .groupBy(*key, "_block")
+            .agg(F.expr(f"collect_list(struct({', '.join([*n_cols, '_right'])})) AS _members"))
+            .drop("_block")
+        )
+        compared = (
+            skew_join(open_probes.drop("_size"), blocks, key, salts=16, hot=crowded_left)
+            .selectExpr(*key, *n_cols, f"{_best_of(spec, names, '_members')} AS _best")
+            .groupBy(*key, *n_cols)
+            .agg(F.expr("min(_best) AS _best"))
+        )
+        searched = skew_join(
+            open_rows.select(*l_cols, *key, *n_cols), compared, [*key, *n_cols], hot=crowded_left, hot_on=key
+        )
+        every = settled.unionByName(searched.select(*l_cols, "_rank", "_best"))
 
-    every = settled.unionByName(searched) if names else settled
+    best = f"min(struct(_rank, _best.loss, _best.gaps, _best._right, _best.parts, {names_sql(l_cols)})) AS _top"
     return (
-        every.groupBy(f"l_{left_id}")
-        .agg(F.min(F.struct("_rank", "_best.loss", "_best.gaps", "_best._right", "_best.parts", *l_cols)).alias("_top"))
-        .select(
-            *[F.col(f"_top.{c}").alias(c) for c in l_cols],
-            *[F.col(f"_top._right.{c}").alias(c) for c in r_cols],
-            F.col("_top._rank").alias("match_level"),
-            *[F.col(f"_top.parts.{d.name}_match_score") for d in spec.dimensions],
-            (-F.col("_top.gaps")).alias("scored_dims"),
-            (-F.col("_top.loss")).alias("overall_match_confidence"),
+        every.groupBy(F.col(f"l_{left_id}").alias("_id"))
+        .agg(F.expr(best))
+        .selectExpr(
+            *[f"_top.`{c}` AS `{c}`" for c in l_cols],
+            *[f"_top._right.`{c}` AS `{c}`" for c in r_cols],
+            "_top._rank AS match_level",
+            *[f"_top.parts.{d.name}_match_score" for d in spec.dimensions],
+            "-_top.gaps AS scored_dims",
+            "-_top.loss AS overall_match_confidence",
         )
     )
 
 
-def _grams(text: Column, size: int) -> Column:
-    """All substrings of ``size`` characters of the padded text."""
-    pad = F.lit("\u0001" * (size - 1))
-    padded = F.concat(pad, text, pad)
-    return F.transform(
-        F.sequence(F.lit(1), F.length(text) + (size - 1)),
-        lambda i: F.struct(F.substring(padded, i, F.lit(size)).alias("gram")),
-    )
-
-
 def similar_values(left: DataFrame, right: DataFrame, least: float, gram: int = 3) -> DataFrame:
     """All (l_value, r_value, similarity) with similarity of at least ``least`` (0.75 or more).
 
@@ -268,38 +239,41 @@ def similar_values(left: DataFrame, right: DataFrame, least: float, gram: int =
     floor = least - 0.00005  # similarity is rounded to four places
 
     def values(df: DataFrame) -> DataFrame:
-        column = F.col(df.columns[0])
-        return df.select(column.cast("string").alias("_v")).where(F.col("_v") != "").distinct()
+        return df.toDF("_v").selectExpr("CAST(_v AS STRING) AS _v").where("_v <> ''").distinct()
+
+    def grams(df: DataFrame) -> DataFrame:
+        """Every substring of ``gram`` characters of the padded value."""
+        pad = f"repeat(chr(1), {gram - 1})"
+        return df.selectExpr(
+            "_v",
+            f"explode(transform(sequence(1, length(_v) + {gram - 1}), "
+            f"i -> substring(concat({pad}, _v, {pad}), i, {gram}))) AS _gram",
+        )
 
     lefts, rights = values(left), values(right)
-    both = lefts.unionByName(rights).select(F.explode(_grams(F.col("_v"), gram)).alias("_g")).select("_g.gram")
     # the 1024 most frequent grams at most, so what is broadcast has a fixed size
-    common = both.agg(F.expr("approx_top_k(gram, 1024, 65536)").alias("_top"))
-    counts = F.broadcast(common.select(F.explode("_top")).select(F.col("col.item").alias("_gram"), F.col("col.count").alias("_n")))
-    hot = common.select(F.explode(F.slice("_top", 1, MAX_HOT_KEYS))).select(F.xxhash64("col.item").alias("_hot"))
+    common = grams(lefts.unionByName(rights)).selectExpr("approx_top_k(_gram, 1024, 65536) AS _top")
+    counts = F.broadcast(common.selectExpr("inline(_top) AS (_gram, _n)"))
+    hot = common.selectExpr(f"inline(slice(_top, 1, {MAX_HOT_KEYS})) AS (_gram, _n)").selectExpr("xxhash64(_gram) AS _hot")
 
     def prefixes(df: DataFrame, side: str) -> DataFrame:
         """The rarest grams of each value. ``df`` is already partitioned by value, so nothing is shuffled."""
-        edits = F.floor(F.length("_v") * (1 - floor) / floor)
+        keep = f"CAST(floor(length(_v) * {1 - floor}D / {floor}D) * {gram} + 1 AS INT)"
         return (
-            df.select("_v", F.explode(_grams(F.col("_v"), gram)).alias("_g"))
-            .select("_v", F.col("_g.gram").alias("_gram"))
+            grams(df)
             .join(counts, "_gram", "left")
             .groupBy("_v")
-            .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.xxhash64("_gram").alias("h"), F.col("_gram").alias("gram")))).alias("_all"))
-            .select(
-                F.col("_v").alias(f"{side}_value"),
-                F.array_distinct(F.transform(F.slice("_all", F.lit(1), (edits * gram + 1).cast("int")), lambda g: g["gram"])).alias(f"_{side}_set"),
-            )
-            .withColumn("_gram", F.explode(f"_{side}_set"))
+            .agg(F.expr("array_sort(collect_list(struct(coalesce(_n, 0L) AS n, xxhash64(_gram) AS h, _gram AS g))) AS _all"))
+            .selectExpr(f"_v AS {side}_value", f"array_distinct(slice(_all, 1, {keep}).g) AS _{side}_set")
+            .selectExpr("*", f"explode(_{side}_set) AS _gram")
         )
 
     met = skew_join(prefixes(lefts, "l"), prefixes(rights, "r"), ["_gram"], hot=hot)
-    shorter, longer = F.least(F.length("l_value"), F.length("r_value")), F.greatest(F.length("l_value"), F.length("r_value"))
+    lengths = "length(l_value), length(r_value)"
     # a pair that shares several grams is kept at the first of them only
-    first_met = F.array_min(F.array_intersect("_l_set", "_r_set")) == F.col("_gram")
+    first_met = "array_min(array_intersect(_l_set, _r_set)) = _gram"
     return (
-        met.where((shorter >= longer * floor) & first_met)
-        .select("l_value", "r_value", similarity("l_value", "r_value").alias("similarity"))
+        met.where(f"least({lengths}) >= greatest({lengths}) * {floor}D AND {first_met}")
+        .selectExpr("l_value", "r_value", f"{similarity_sql('l_value', 'r_value')} AS similarity")
         .where(F.col("similarity") >= least)
     )

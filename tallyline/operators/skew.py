@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # At most this many keys can be reported as hot, so the broadcast list is at most 64 longs.
@@ -18,15 +18,12 @@ MAX_HOT_KEYS = 64
 SKETCH_ITEMS = 8192
 
 
-def _key_hash(columns: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(c) for c in columns])
+def names_sql(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
 
 
-def _all_present(columns: Sequence[str]) -> Column:
-    present = F.lit(True)
-    for c in columns:
-        present = present & F.col(c).isNotNull()
-    return present
+def _present(columns: Sequence[str]) -> str:
+    return " AND ".join(f"`{c}` IS NOT NULL" for c in columns)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: int = MAX_HOT_KEYS) -> DataFrame:
@@ -35,14 +32,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = MAX_HOT_KEYS) -> D
     One pass over the key columns: each task keeps a frequent-items sketch and only the sketches
     are shuffled. A wrong estimate changes how rows are spread, never the join result.
     """
-    summary = df.where(_all_present(keys)).select(_key_hash(keys).alias("_h")).agg(
-        F.count("*").alias("_n"),
-        F.expr(f"approx_top_k(_h, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("_top"),
-    )
     return (
-        summary.select("_n", F.explode("_top").alias("_item"))
-        .where(F.col("_item.count") * share > F.col("_n"))
-        .select(F.col("_item.item").alias("_hot"))
+        df.where(_present(keys))
+        .selectExpr(f"xxhash64({names_sql(keys)}) AS _h")
+        .selectExpr("count(*) AS _n", f"approx_top_k(_h, {MAX_HOT_KEYS}, {SKETCH_ITEMS}) AS _top")
+        .selectExpr("_n", "inline(_top) AS (_hot, _seen)")
+        .where(f"_seen * {share} > _n")
+        .select("_hot")
     )
 
 
@@ -61,8 +57,10 @@ def skew_join(
     those few keys are copied to each part. Left rows with a NULL key match nothing and are dealt
     out freely. The salt depends on the row alone, so a rerun task sends it to the same place.
     ``right`` is best unique on ``on``: rows of a hot key there are multiplied by ``salts``.
-    A list from ``hot_keys`` over ``hot_on``, some of the join columns, can serve several joins;
-    ``hot=False`` is for sides that are unique on ``on`` and only spreads the NULL keys.
+
+    ``left`` is read twice unless a list from ``hot_keys`` over ``hot_on``, some of the join
+    columns, is given, which can serve several joins. ``hot=False`` is for sides that are unique
+    on ``on`` and only spreads the NULL keys.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join cannot do a {how} join")
@@ -70,24 +68,18 @@ def skew_join(
     hot_on = on if hot_on is None else list(hot_on)
     if hot is None:
         hot = hot_keys(left, hot_on)
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    dealt = F.pmod(row_hash, F.lit(salts)).cast("int")
-    free = F.pmod(row_hash, F.lit(1 << 16)).cast("int")
-    is_hot = F.lit(False) if hot is False else F.col("_hot").isNotNull()
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-
-    def marked(df: DataFrame) -> DataFrame:
-        if hot is False:
-            return df
-        return (
-            df.withColumn("_h", _key_hash(hot_on))
-            .join(F.broadcast(hot), F.col("_h") == F.col("_hot"), "left")
-            .drop("_h")
-        )
-
-    keep = _all_present(on) if how in ("inner", "left_semi") else F.lit(True)
-    salt = F.when(~_all_present(on), free).when(is_hot, dealt).otherwise(F.lit(0))
-    salted_left = marked(left.where(keep)).withColumn("_salt", salt).drop("_hot")
-    copies = F.lit(0) if hot is False else F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0))))
-    salted_right = marked(right.where(_all_present(on))).withColumn("_salt", copies).drop("_hot")
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    l_names, r_names = [f"`{c}`" for c in left.columns], [f"`{c}`" for c in right.columns]
+    present, row = _present(on), f"xxhash64({', '.join(l_names)})"
+    if how in ("inner", "left_semi"):
+        left = left.where(present)
+    right = right.where(present)
+    dealt, copies = "0L", "0L"
+    if hot is not False:
+        hot = F.broadcast(hot)
+        is_hot = F.expr(f"xxhash64({names_sql(hot_on)}) = _hot")
+        left, right = left.join(hot, is_hot, "left"), right.join(hot, is_hot, "left")
+        dealt = f"CASE WHEN _hot IS NOT NULL THEN pmod({row}, {salts}L) ELSE 0L END"
+        copies = f"explode(CASE WHEN _hot IS NOT NULL THEN sequence(0L, {salts - 1}L) ELSE array(0L) END)"
+    left = left.selectExpr(*l_names, f"CASE WHEN {present} THEN {dealt} ELSE pmod({row}, 65536L) END AS _salt")
+    right = right.selectExpr(*r_names, f"{copies} AS _salt")
+    return left.join(right, [*on, "_salt"], how).drop("_salt")

@@ -39,6 +39,7 @@ from tallyline.sources import (
     read_labels,
     read_table,
     shared_dir,
+    staged,
     write_conformed,
 )
 from tallyline.streaming import ingest_stream, read_current, read_stream_parquet, upsert_stream
@@ -174,8 +175,8 @@ def weighted_scores(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
     name = similarity(F.upper("p_name"), F.upper("p_type"))
     brand = F.when(F.col("p_size") > 10, similarity(F.col("p_brand"), F.lit("Brand#12")))
-    parts = [(name, 0.45), (brand, 0.25)]
-    return part.select(
+    parts = [("name", 0.45), ("brand", 0.25)]
+    return part.select("p_partkey", name.alias("name"), brand.alias("brand")).select(
         "p_partkey", weighted_score(parts).alias("renormalized"), weighted_score(parts, renormalize=False).alias("plain")
     )
 
@@ -448,11 +449,14 @@ def _sponsors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _matches(spark: SparkSession, sf: str) -> DataFrame:
-    return trials.study_contract_matches(study_feed(spark, sf), contract_feed(spark, sf))
+    return trials.study_contract_matches(study_feed(spark, sf), contract_feed(spark, sf), stage=staged)
 
 
 def _crosswalk(spark: SparkSession, sf: str) -> DataFrame:
-    return trials.attach_invoices(_matches(spark, sf), invoice_feed(spark, sf))
+    """The stored crosswalk, as the steps after it read it."""
+    return staged(
+        trials.study_contract_crosswalk(study_feed(spark, sf), contract_feed(spark, sf), invoice_feed(spark, sf), staged)
+    )
 
 
 @query
@@ -635,9 +639,7 @@ def canonical_open_ar(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def audit_summary(spark: SparkSession, sf: str) -> DataFrame:
-    root = shared_dir(spark, "gold")
-    _header(spark, sf).write.parquet(f"{root}/header")
-    header = read_table(spark, f"{root}/header")
+    header = staged(_header(spark, sf))
     return metrics.audit_summary(
         {
             "customer_master": (trials.customer_master(_sponsors(spark, sf), sponsor_feed(spark, sf)), None),

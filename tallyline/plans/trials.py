@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,6 +107,13 @@ def transform(entity: str, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split(conform(raw, ENTITIES[entity]))
 
 
+Stage = Callable[[DataFrame], DataFrame]
+
+
+def lazily(df: DataFrame) -> DataFrame:
+    return df
+
+
 # --- matching ---------------------------------------------------------------------------------
 
 MATCHING = MatchSpec(
@@ -203,7 +210,7 @@ def sponsor_crosswalk(master: DataFrame, feeds: Iterable[DataFrame], fuzzy: bool
     return matched.unionByName(shaped(best, F.col("similarity"), FUZZY_LEVEL))
 
 
-def study_contract_matches(studies: DataFrame, contracts: DataFrame) -> DataFrame:
+def study_contract_matches(studies: DataFrame, contracts: DataFrame, stage: Stage = lazily) -> DataFrame:
     """The best contract of every study: by sponsor, protocol or study name, in that order."""
     left = with_standardized_keys(
         studies.select("study_id", "study_name", "protocol_no", "sponsor_external_id"),
@@ -224,7 +231,7 @@ def study_contract_matches(studies: DataFrame, contracts: DataFrame) -> DataFram
             "sponsor_external_id": "sponsor_external_id_std",
         },
     ).drop("study_name", "protocol_no")
-    best = best_match(left, right, MATCHING, "study_id", _recent(right, ["contract_id", "contract_name"]))
+    best = best_match(left, right, MATCHING, "study_id", _recent(right, ["contract_id", "contract_name"]), stage=stage)
     return best.select(
         F.col("l_study_id").alias("study_id"),
         F.col("l_study_name").alias("study_name"),
@@ -264,8 +271,11 @@ def attach_invoices(matches: DataFrame, invoices: DataFrame) -> DataFrame:
     )
 
 
-def study_contract_crosswalk(studies: DataFrame, contracts: DataFrame, invoices: DataFrame) -> DataFrame:
-    return attach_invoices(study_contract_matches(studies, contracts), invoices)
+def study_contract_crosswalk(
+    studies: DataFrame, contracts: DataFrame, invoices: DataFrame, stage: Stage = lazily
+) -> DataFrame:
+    """Best contract and invoices of every study. ``stage=sources.staged`` stores what is read repeatedly."""
+    return attach_invoices(stage(study_contract_matches(studies, contracts, stage)), stage(invoices))
 
 
 def entity_crosswalk(sponsors: DataFrame, study_contracts: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from tallyline.sources.sinks import (
     export_changes,
     overwrite_table,
     shared_dir,
+    staged,
     write_conformed,
     write_version,
 )
@@ -21,6 +22,7 @@ __all__ = [
     "read_labels",
     "read_table",
     "shared_dir",
+    "staged",
     "string_schema",
     "with_record_hash",
     "write_conformed",

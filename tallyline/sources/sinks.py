@@ -19,6 +19,17 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/tallyline/{purpose}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, purpose: str = "staged") -> DataFrame:
+    """Store a derived table in the shared folder and read it back.
+
+    Use it for a table that several later steps read: they then read files instead of computing it
+    again, lost executors cost no recomputation, and Spark knows its size.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_raw(df: DataFrame, path: str, partition_by: str = "batch_date") -> None:
     """Append to the raw layer, one folder per batch so that later reads prune to the batches they need."""
     df.write.mode("append").partitionBy(partition_by).parquet(path)
