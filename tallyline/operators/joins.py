@@ -49,38 +49,40 @@ def any_key_join(
     ``how="left"`` keeps unmatched left rows and needs a unique ``left_id``. ``left`` is read more
     than once: pass a stored table, not a long plan.
     """
-    r_names = [f"r_{c}" for c in right.columns]
-    if how == "left":
-        if left_id is None:
-            raise ValueError("a left any_key_join needs left_id")
-        needed = list(dict.fromkeys([left_id, *within, *keys]))
-        pairs = any_key_join(left.select(*needed), right, keys, within)
-        found = pairs.select(f"l_{left_id}", *r_names)
-        return prefixed(left, "l_").join(found, f"l_{left_id}", "left")
-
     lefts, rights = prefixed(left, "l_"), prefixed(right, "r_")
-    l_names = lefts.columns
+    l_names, r_names = lefts.columns, rights.columns
     for c in within:
         lefts = lefts.where(filled_sql(f"l_{c}")).withColumn(f"_w_{c}", F.col(f"l_{c}"))
         rights = rights.where(filled_sql(f"r_{c}")).withColumn(f"_w_{c}", F.col(f"r_{c}"))
-    met = skew_join(
-        key_entries(lefts, [f"l_{k}" for k in keys]),
-        key_entries(rights, [f"r_{k}" for k in keys]),
-        ["_rank", "_value", *[f"_w_{c}" for c in within]],
-    )
+    on = ["_rank", "_value", *[f"_w_{c}" for c in within]]
+    lefts, rights = key_entries(lefts, [f"l_{k}" for k in keys]), key_entries(rights, [f"r_{k}" for k in keys])
     first = " ".join(
         f"WHEN {filled_sql(f'l_{k}')} AND CAST(`l_{k}` AS STRING) = CAST(`r_{k}` AS STRING) THEN {i}"
         for i, k in enumerate(keys)
     )
-    return met.where(f"CASE {first} END = _rank").select(*l_names, *r_names)
+    pairs = skew_join(lefts, rights, on, hot_right=True).where(f"CASE {first} END = _rank").select(*l_names, *r_names)
+    if how == "inner":
+        return pairs
+    if left_id is None:
+        raise ValueError("a left any_key_join needs left_id")
+    # a left row has a partner when one of its keys occurs on the right
+    found = skew_join(lefts.select(f"l_{left_id}", *on), rights.select(*on).distinct(), on, "left_semi")
+    alone = prefixed(left, "l_").join(found.select(f"l_{left_id}").distinct(), f"l_{left_id}", "left_anti")
+    return pairs.unionByName(alone, allowMissingColumns=True)
 
 
 def priority_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], order: Sequence[Column], payload: Sequence[str]
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    payload: Sequence[str],
+    unique: Sequence[str] = (),
 ) -> DataFrame:
     """Every left row with the ``payload`` of one right row: found by the first key, else the next.
 
     The right side is cut to its first row per key value before each join, so no left row fans out.
+    Keys named in ``unique`` are unique on the left and are not looked through for hot values.
     """
     out = left
     for i, key in enumerate(keys):
@@ -88,14 +90,20 @@ def priority_join(
             F.col(key).alias(f"_k{i}"), F.struct(*payload).alias(f"_p{i}")
         )
         filled = F.when(~is_blank(key), F.col(key)).alias(f"_k{i}")
-        hot = hot_keys(left.select(filled), [f"_k{i}"])
+        hot = False if key in unique else hot_keys(left.select(filled), [f"_k{i}"])
         out = skew_join(out.select("*", filled), lookup, [f"_k{i}"], "left", hot=hot).drop(f"_k{i}")
     found = F.coalesce(*[F.col(f"_p{i}") for i in range(len(keys))])
     return out.select(*left.columns, *[found[c].alias(c) for c in payload])
 
 
 def link_on_keys(left: DataFrame, right: DataFrame, on: Sequence[str], suffix: str = "_right") -> DataFrame:
-    """Left join on equal keys; right columns whose name is taken get ``suffix``."""
+    """Left join on equal keys; right columns whose name is taken get ``suffix``.
+
+    Matched and unmatched rows are found apart, so that a key may be crowded on either side.
+    """
     taken = set(left.columns) - set(on)
     renamed = right.select([F.col(c).alias(c + suffix if c in taken else c) for c in right.columns])
-    return skew_join(left, renamed, on, "left")
+    matched = skew_join(left, renamed, on, hot_right=True)
+    alone = skew_join(left, right.select(*on).distinct(), on, "left_anti")
+    columns = [*left.columns, *[c for c in renamed.columns if c not in on]]
+    return matched.unionByName(alone, allowMissingColumns=True).select(*columns)

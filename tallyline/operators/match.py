@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import similarity_sql, weighted_score_sql
 from tallyline.operators.joins import key_entries
-from tallyline.operators.skew import MAX_HOT_KEYS, hot_keys, names_sql, skew_join
+from tallyline.operators.skew import hot_items, hot_keys, names_sql, skew_join
 
 # Distinct right-hand names held in one array row.
 BLOCK_SIZE = 2048
@@ -146,7 +146,7 @@ def best_match(
        arrays of about ``block_size``, so a crowded key is spread over many rows and tasks and no
        pair is ever a row. Equal probes are compared once.
 
-    ``stage`` may store an intermediate table that is used several times (see sources.staged).
+    ``stage`` may store the two intermediate tables that are read several times (see sources.staged).
     """
     both = [c for c in left.columns if c in right.columns]
     names = list(dict.fromkeys(d.column for d in spec.dimensions if d.column in both))
@@ -172,7 +172,9 @@ def best_match(
     crowded_left, crowded_right = hot_keys(lefts, key), hot_keys(rights, key)
 
     # 1. one right row per level, key and names
-    representatives = rights.groupBy(*key, *n_cols).agg(F.expr(f"min(struct(_order, {names_sql(r_cols)})) AS _right"))
+    representatives = stage(
+        rights.groupBy(*key, *n_cols).agg(F.expr(f"min(struct(_order, {names_sql(r_cols)})) AS _right"))
+    )
 
     # 2. lowest level per left row, with an equal right row where there is one
     equals = representatives.where(named).selectExpr(*key, f"{all_names} AS _name", "_right")
@@ -202,7 +204,7 @@ def best_match(
             .drop("_block")
         )
         compared = (
-            skew_join(open_probes.drop("_size"), blocks, key, salts=16, hot=crowded_left)
+            skew_join(open_probes.drop("_size"), blocks, key, hot=crowded_left, hot_right=crowded_right)
             .selectExpr(*key, *n_cols, f"{_best_of(spec, names, '_members')} AS _best")
             .groupBy(*key, *n_cols)
             .agg(F.expr("min(_best) AS _best"))
@@ -252,9 +254,10 @@ def similar_values(left: DataFrame, right: DataFrame, least: float, gram: int =
 
     lefts, rights = values(left), values(right)
     # the 1024 most frequent grams at most, so what is broadcast has a fixed size
-    common = grams(lefts.unionByName(rights)).selectExpr("approx_top_k(_gram, 1024, 65536) AS _top")
+    common = grams(lefts.unionByName(rights)).selectExpr("count(*) AS _n", "approx_top_k(_gram, 1024, 65536) AS _top")
     counts = F.broadcast(common.selectExpr("inline(_top) AS (_gram, _n)"))
-    hot = common.selectExpr(f"inline(slice(_top, 1, {MAX_HOT_KEYS})) AS (_gram, _n)").selectExpr("xxhash64(_gram) AS _hot")
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_items(common, partitions).selectExpr("xxhash64(_hot) AS _hot", "_parts")
 
     def prefixes(df: DataFrame, side: str) -> DataFrame:
         """The rarest grams of each value. ``df`` is already partitioned by value, so nothing is shuffled."""
@@ -268,7 +271,7 @@ def similar_values(left: DataFrame, right: DataFrame, least: float, gram: int =
             .selectExpr("*", f"explode(_{side}_set) AS _gram")
         )
 
-    met = skew_join(prefixes(lefts, "l"), prefixes(rights, "r"), ["_gram"], hot=hot)
+    met = skew_join(prefixes(lefts, "l"), prefixes(rights, "r"), ["_gram"], hot=hot, hot_right=hot)
     lengths = "length(l_value), length(r_value)"
     # a pair that shares several grams is kept at the first of them only
     first_met = "array_min(array_intersect(_l_set, _r_set)) = _gram"

@@ -12,10 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys can be reported as hot, so the broadcast list is at most 64 longs.
-MAX_HOT_KEYS = 64
+# At most this many keys can be reported as hot, so the broadcast list is at most 1024 short rows.
+MAX_HOT_KEYS = 1024
 # Counters kept by the frequent-items sketch; its error is a small multiple of rows / this.
-SKETCH_ITEMS = 8192
+SKETCH_ITEMS = 16384
 
 
 def names_sql(columns: Sequence[str]) -> str:
@@ -26,20 +26,36 @@ def _present(columns: Sequence[str]) -> str:
     return " AND ".join(f"`{c}` IS NOT NULL" for c in columns)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: int = MAX_HOT_KEYS) -> DataFrame:
-    """Hashes of the keys that hold more than ``1/share`` of the rows; never more than 64 rows.
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    One pass over the key columns: each task keeps a frequent-items sketch and only the sketches
-    are shuffled. A wrong estimate changes how rows are spread, never the join result.
+
+def hot_items(summary: DataFrame, partitions: int) -> DataFrame:
+    """(_hot, _parts) from one row with a row count ``_n`` and the most frequent items ``_top``.
+
+    An item is hot when it fills more than an even share of one partition; it is cut into parts of
+    about half such a share.
     """
     return (
+        summary.selectExpr("_n", "inline(_top) AS (_hot, _seen)")
+        .where(f"_seen * {partitions} > _n")
+        .selectExpr("_hot", f"greatest(2L, ceil(_seen * {2 * partitions} / _n)) AS _parts")
+    )
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Hashes of the keys too large for one of ``partitions`` tasks, and into how many parts to cut each.
+
+    ``partitions`` is the number of shuffle partitions unless given. One pass over the key columns:
+    each task keeps a frequent-items sketch and only the sketches are shuffled. A wrong estimate
+    changes how rows are spread, never the join result.
+    """
+    summary = (
         df.where(_present(keys))
         .selectExpr(f"xxhash64({names_sql(keys)}) AS _h")
         .selectExpr("count(*) AS _n", f"approx_top_k(_h, {MAX_HOT_KEYS}, {SKETCH_ITEMS}) AS _top")
-        .selectExpr("_n", "inline(_top) AS (_hot, _seen)")
-        .where(f"_seen * {share} > _n")
-        .select("_hot")
     )
+    return hot_items(summary, partitions or _partitions(df))
 
 
 def skew_join(
@@ -47,39 +63,56 @@ def skew_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    salts: int = 64,
     hot: DataFrame | bool | None = None,
+    hot_right: DataFrame | bool = False,
     hot_on: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``left.join(right, on, how)`` with hot keys on the left; ``how`` keeps or filters left rows.
+    """``left.join(right, on, how)`` with hot keys; ``how`` keeps or filters left rows.
 
-    Left rows of a hot key are dealt to ``salts`` parts by a hash of the row; the right rows of
-    those few keys are copied to each part. Left rows with a NULL key match nothing and are dealt
-    out freely. The salt depends on the row alone, so a rerun task sends it to the same place.
-    ``right`` is best unique on ``on``: rows of a hot key there are multiplied by ``salts``.
+    Left rows of a hot key are dealt to its parts by a hash of the row, and the right rows of those
+    few keys are copied to each part. Left rows with a NULL key match nothing and are dealt out
+    freely. The salt depends on the row alone, so a rerun task sends it to the same place. For an
+    inner join with keys that are hot on the right, ``hot_right`` (True or a list) cuts that side too.
 
-    ``left`` is read twice unless a list from ``hot_keys`` over ``hot_on``, some of the join
-    columns, is given, which can serve several joins. ``hot=False`` is for sides that are unique
-    on ``on`` and only spreads the NULL keys.
+    ``hot`` and ``hot_right`` may be lists from ``hot_keys`` over ``hot_on``, some of the join
+    columns, shared by several joins; otherwise the side is read once more to find them.
+    ``hot=False`` is for sides that are unique on ``on`` and only spreads the NULL keys.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join cannot do a {how} join")
+    if hot_right is not False and how != "inner":
+        raise ValueError("only an inner join can cut keys that are hot on the right")
     on = list(on)
     hot_on = on if hot_on is None else list(hot_on)
     if hot is None:
         hot = hot_keys(left, hot_on)
+    if hot_right is True:
+        hot_right = hot_keys(right, hot_on)
+    present = _present(on)
     l_names, r_names = [f"`{c}`" for c in left.columns], [f"`{c}`" for c in right.columns]
-    present, row = _present(on), f"xxhash64({', '.join(l_names)})"
     if how in ("inner", "left_semi"):
         left = left.where(present)
     right = right.where(present)
-    dealt, copies = "0L", "0L"
+    key_hash = f"xxhash64({names_sql(hot_on)})"
+    l_salts, r_salts, salts = [], [], []
+
+    def cut(listed: DataFrame, salt: str, dealt_names: list[str], dealt_salts: list[str], copied_salts: list[str]) -> None:
+        nonlocal left, right
+        parts = f"{salt}_parts"
+        listed = F.broadcast(listed.toDF(f"{salt}_hot", parts))
+        condition = F.expr(f"{key_hash} = {salt}_hot")
+        left, right = left.join(listed, condition, "left"), right.join(listed, condition, "left")
+        dealt_salts.append(f"CASE WHEN {parts} IS NULL THEN 0L ELSE pmod(xxhash64({', '.join(dealt_names)}), {parts}) END AS {salt}")
+        copied_salts.append(f"explode(sequence(0L, coalesce({parts}, 1L) - 1L)) AS {salt}")
+        salts.append(salt)
+
     if hot is not False:
-        hot = F.broadcast(hot)
-        is_hot = F.expr(f"xxhash64({names_sql(hot_on)}) = _hot")
-        left, right = left.join(hot, is_hot, "left"), right.join(hot, is_hot, "left")
-        dealt = f"CASE WHEN _hot IS NOT NULL THEN pmod({row}, {salts}L) ELSE 0L END"
-        copies = f"explode(CASE WHEN _hot IS NOT NULL THEN sequence(0L, {salts - 1}L) ELSE array(0L) END)"
-    left = left.selectExpr(*l_names, f"CASE WHEN {present} THEN {dealt} ELSE pmod({row}, 65536L) END AS _salt")
-    right = right.selectExpr(*r_names, f"{copies} AS _salt")
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+        cut(hot, "_salt", l_names, l_salts, r_salts)
+    if hot_right is not False:
+        cut(hot_right, "_rsalt", r_names, r_salts, l_salts)
+    if how in ("left", "left_anti"):
+        # rows without a key never match: any salt will do, and they need not meet
+        free = f"CASE WHEN {present} THEN 0L ELSE pmod(xxhash64({', '.join(l_names)}), 65536L) END AS _spread"
+        l_salts, r_salts, salts = [*l_salts, free], [*r_salts, "0L AS _spread"], [*salts, "_spread"]
+    left, right = left.selectExpr(*l_names, *l_salts), right.selectExpr(*r_names, *r_salts)
+    return left.join(right, [*on, *salts], how).drop(*salts)

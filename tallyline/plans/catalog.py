@@ -563,7 +563,8 @@ def detect_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def apply_changes(spark: SparkSession, sf: str) -> DataFrame:
-    return cdc.apply_changes(_hashed_snapshot(spark, sf, 1), _detected(spark, sf), ["o_orderkey"])
+    changes = staged(cdc.change_set(_detected(spark, sf)))
+    return cdc.apply_changes(_hashed_snapshot(spark, sf, 1), changes, ["o_orderkey"])
 
 
 @query
@@ -574,8 +575,10 @@ def upsert_orders(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def scd2_history(spark: SparkSession, sf: str) -> DataFrame:
     rows = history.open_history(_hashed_snapshot(spark, sf, 1), FIRST)
-    rows = history.apply_scd2(rows, _detected(spark, sf, 1, 2), ["o_orderkey"], SECOND)
-    return history.apply_scd2(rows, _detected(spark, sf, 2, 3), ["o_orderkey"], THIRD)
+    for when, old, new in ((SECOND, 1, 2), (THIRD, 2, 3)):
+        changes = staged(cdc.change_set(_detected(spark, sf, old, new)))
+        rows = staged(history.apply_scd2(rows, changes, ["o_orderkey"], when))
+    return rows
 
 
 @query
@@ -604,7 +607,7 @@ def _valid(spark: SparkSession, sf: str, entity: str) -> DataFrame:
 
 
 def _header(spark: SparkSession, sf: str) -> DataFrame:
-    return trials.invoice_header(_valid(spark, sf, "invoice"), _crosswalk(spark, sf))
+    return trials.invoice_header(staged(_valid(spark, sf, "invoice")), _crosswalk(spark, sf))
 
 
 @query
@@ -717,8 +720,10 @@ def recon_match_accuracy(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _report(spark: SparkSession, sf: str) -> DataFrame:
-    source, target = _invoices(spark, sf)
-    contracts, valid_contracts = contract_feed(spark, sf), _valid(spark, sf, "contract")
+    """The report over stored raw and conformed tables, as the load job leaves them."""
+    invoices, contracts = invoice_feed(spark, sf), contract_feed(spark, sf)
+    source, target = staged(invoices), staged(split(conform(invoices, trials.INVOICE))[0])
+    valid_contracts = _valid(spark, sf, "contract")
     return metrics.assemble_report(
         metrics.source_vs_target_record_count(source, target, "record_count"),
         metrics.source_vs_target_total(contracts, "contract_value", valid_contracts, "contract_value_std", "contract_value"),

@@ -232,7 +232,7 @@ cte(
 FROM (SELECT sponsor_external_id FROM study_feed UNION SELECT sponsor_external_id FROM contract_feed
       UNION SELECT sponsor_external_id FROM invoice_feed) u
 JOIN (SELECT * FROM sponsor_feed WHERE {token('sponsor_external_id')} <> ''
-      QUALIFY row_number() OVER (PARTITION BY {token('sponsor_external_id')} ORDER BY batch_date DESC, sponsor_external_id) = 1) m
+      QUALIFY row_number() OVER (PARTITION BY {token('sponsor_external_id')} ORDER BY batch_date DESC, sponsor_external_id, sponsor_name, billing_account_id) = 1) m
   ON {token('u.sponsor_external_id')} = {token('m.sponsor_external_id')}""",
     "study_feed",
     "contract_feed",
@@ -247,17 +247,17 @@ cte(
 )
 cte(
     "match_right",
-    f"""SELECT contract_id, contract_name, sponsor_external_id, batch_date, record_hash, coalesce({text('study_name')}, '') AS n,
+    f"""SELECT contract_id, contract_name, sponsor_external_id, batch_date, coalesce({text('study_name')}, '') AS n,
   coalesce({token('protocol_no')}, '') AS p, coalesce({token('sponsor_external_id')}, '') AS s FROM contract_feed""",
     "contract_feed",
 )
 cte(
     "match_pairs",
-    """SELECT l.*, r.contract_id, r.contract_name, r.sponsor_external_id, r.batch_date, r.record_hash, r.n AS rn, r.p AS rp, r.s AS rs
+    """SELECT l.*, r.contract_id, r.contract_name, r.sponsor_external_id, r.batch_date, r.n AS rn, r.p AS rp, r.s AS rs
 FROM match_left l JOIN match_right r ON l.s = r.s AND l.s <> ''
-UNION SELECT l.*, r.contract_id, r.contract_name, r.sponsor_external_id, r.batch_date, r.record_hash, r.n, r.p, r.s
+UNION SELECT l.*, r.contract_id, r.contract_name, r.sponsor_external_id, r.batch_date, r.n, r.p, r.s
 FROM match_left l JOIN match_right r ON l.p = r.p AND l.p <> ''
-UNION SELECT l.*, r.contract_id, r.contract_name, r.sponsor_external_id, r.batch_date, r.record_hash, r.n, r.p, r.s
+UNION SELECT l.*, r.contract_id, r.contract_name, r.sponsor_external_id, r.batch_date, r.n, r.p, r.s
 FROM match_left l JOIN match_right r ON l.n = r.n AND l.n <> ''""",
     "match_left",
     "match_right",
@@ -279,7 +279,7 @@ cte(
        + CASE WHEN study_match_score IS NULL THEN 0::DOUBLE ELSE 0.25::DOUBLE END), 4) END AS overall_match_confidence
 FROM match_scored
 QUALIFY row_number() OVER (PARTITION BY study_id ORDER BY match_level, overall_match_confidence DESC, scored_dims DESC,
-  batch_date DESC, contract_id, contract_name, record_hash) = 1""",
+  batch_date DESC, contract_id, contract_name, sponsor_external_id) = 1""",
     "match_scored",
 )
 MATCH_COLUMNS = """study_id, study_name, protocol_no, contract_id, contract_name, sponsor_external_id, sponsor_match_score,

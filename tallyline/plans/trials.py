@@ -147,12 +147,10 @@ def with_standardized_keys(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 def _recent(df: DataFrame, identity: Sequence[str]) -> list[Column]:
-    """Newest batch first, then by identity: a total order whose smallest element is preferred."""
+    """Newest batch first, then by identity; the smaller is preferred."""
     order = []
     if "batch_date" in df.columns:
         order.append(F.coalesce(-F.unix_date(safe_date("batch_date")), F.lit(1 << 30)))
-    if "record_hash" in df.columns:
-        identity = [*identity, "record_hash"]
     return order + [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in identity]
 
 
@@ -173,7 +171,7 @@ def sponsor_crosswalk(master: DataFrame, feeds: Iterable[DataFrame], fuzzy: bool
     used = used.distinct().withColumn("_id", normalize_token("sponsor_external_id", null_as_blank=True))
 
     masters = master.withColumn("_id", normalize_token("sponsor_external_id", null_as_blank=True))
-    newest = top_per_key(masters.where(F.col("_id") != ""), ["_id"], _recent(masters, ["sponsor_external_id"])).select(
+    newest = top_per_key(masters.where(F.col("_id") != ""), ["_id"], _recent(masters, ["sponsor_external_id", "sponsor_name", "billing_account_id"])).select(
         "_id",
         F.col("sponsor_external_id").alias("master_sponsor_external_id"),
         "billing_account_id",
@@ -220,10 +218,12 @@ def study_contract_matches(studies: DataFrame, contracts: DataFrame, stage: Stag
             "sponsor_external_id": "sponsor_external_id_std",
         },
     ).drop("sponsor_external_id")
-    wanted = ["contract_id", "contract_name", "study_name", "protocol_no", "sponsor_external_id"]
-    lineage = [c for c in ("batch_date", "record_hash") if c in contracts.columns]
+    recency = _recent(contracts, [])
     right = with_standardized_keys(
-        contracts.select(*wanted, *lineage),
+        contracts.select(
+            "contract_id", "contract_name", "study_name", "protocol_no", "sponsor_external_id",
+            *[r.alias("recency") for r in recency],
+        ),
         {
             "contract_name": "contract_name_std",
             "study_name": "study_name_std",
@@ -231,7 +231,9 @@ def study_contract_matches(studies: DataFrame, contracts: DataFrame, stage: Stag
             "sponsor_external_id": "sponsor_external_id_std",
         },
     ).drop("study_name", "protocol_no")
-    best = best_match(left, right, MATCHING, "study_id", _recent(right, ["contract_id", "contract_name"]), stage=stage)
+    # newest batch first; rows alike in everything shown are one and the same
+    order = [F.col(c) for c in right.columns if c == "recency"] + [F.col("contract_id"), F.col("contract_name")]
+    best = best_match(left, right, MATCHING, "study_id", order, stage=stage)
     return best.select(
         F.col("l_study_id").alias("study_id"),
         F.col("l_study_name").alias("study_name"),
@@ -275,7 +277,7 @@ def study_contract_crosswalk(
     studies: DataFrame, contracts: DataFrame, invoices: DataFrame, stage: Stage = lazily
 ) -> DataFrame:
     """Best contract and invoices of every study. ``stage=sources.staged`` stores what is read repeatedly."""
-    return attach_invoices(stage(study_contract_matches(studies, contracts, stage)), stage(invoices))
+    return attach_invoices(stage(study_contract_matches(studies, contracts, stage)), invoices)
 
 
 def entity_crosswalk(sponsors: DataFrame, study_contracts: DataFrame) -> DataFrame:
@@ -392,6 +394,7 @@ def invoice_header(invoices: DataFrame, crosswalk: DataFrame) -> DataFrame:
         ["invoice_id", "protocol_no"],
         _link_order(crosswalk, ["study_id", "contract_id"]),
         ["contract_id", "study_id"],
+        unique=["invoice_id"],
     )
     return map_entity(
         linked,
