@@ -28,6 +28,7 @@ from tallyline.operators.conform import conform, normalize_join_keys, split
 from tallyline.operators.dedupe import deduplicate_by_key, top_per_key
 from tallyline.operators.joins import any_key_join, link_on_keys, prefixed, priority_join
 from tallyline.operators.match import score_pairs, similar_values
+from tallyline.operators.skew import skew_join
 from tallyline.plans import trials
 from tallyline.plans.feeds import contract_feed, invoice_feed, sponsor_feed, study_feed, table
 from tallyline.sources import (
@@ -642,11 +643,13 @@ def canonical_open_ar(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def audit_summary(spark: SparkSession, sf: str) -> DataFrame:
-    header = staged(_header(spark, sf))
+    links = _crosswalk(spark, sf)
+    header = staged(trials.invoice_header(staged(_valid(spark, sf, "invoice")), links))
     return metrics.audit_summary(
         {
             "customer_master": (trials.customer_master(_sponsors(spark, sf), sponsor_feed(spark, sf)), None),
             "project_master": (trials.project_master(_valid(spark, sf, "study")), None),
+            "contract_master": (trials.contract_master(_valid(spark, sf, "contract"), links), None),
             "invoice_header": (header, "invoice_total"),
             "invoice_line": (trials.invoice_line(header), "line_amount"),
             "open_ar": (trials.open_ar(header), "amount_due"),
@@ -669,7 +672,8 @@ def _receivables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     )
     lines = table(spark, sf, "lineitem").where(F.col("l_linestatus") == "F")
     invoices = orders.where(F.col("o_orderstatus") != "P").withColumnRenamed("o_totalprice", "invoice_amount")
-    payments = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumnRenamed("l_extendedprice", "payment_amount")
+    paid = lines.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_extendedprice").alias("payment_amount"))
+    payments = skew_join(paid, orders.select("o_orderkey", "sponsor_name", "study_name"), ["o_orderkey"])
     return invoices, payments
 
 
@@ -715,8 +719,7 @@ def recon_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def recon_match_accuracy(spark: SparkSession, sf: str) -> DataFrame:
-    found = metrics.match_accuracy(_matches(spark, sf), threshold=trials.CONFIDENT)
-    return found.withColumn("metric_value", F.round("metric_value", 6))
+    return metrics.match_accuracy(_matches(spark, sf), threshold=trials.CONFIDENT)
 
 
 def _report(spark: SparkSession, sf: str) -> DataFrame:
@@ -741,7 +744,9 @@ def _report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def recon_report(spark: SparkSession, sf: str) -> DataFrame:
-    return _report(spark, sf).drop("report_generated_ts").orderBy("metric_group", "metric_name")
+    matching = metrics.match_accuracy(_matches(spark, sf), threshold=trials.CONFIDENT)
+    report = _report(spark, sf).drop("report_generated_ts").unionByName(matching)
+    return report.orderBy("metric_group", "metric_name")
 
 
 @query

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions import record_hash
+from tallyline.operators.skew import skew_join
 from tallyline.plans.trials import CONTRACT_COLUMNS, INVOICE_COLUMNS, SPONSOR_COLUMNS, STUDY_COLUMNS
 
 # When the feeds are taken to have been loaded.
@@ -132,8 +133,7 @@ def invoice_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     paid = F.when(status == "F", amount).when(flag == "R", _amount(amount + 10)).otherwise(_amount(F.lit(0)))
     wrong = (flag == "N") & (status == "O") & (F.col("l_discount") > 0.08)
     lines = (
-        table(spark, sf_dir, "lineitem")
-        .join(owners, "l_orderkey")
+        skew_join(table(spark, sf_dir, "lineitem"), owners, ["l_orderkey"])
         .withColumns({"_amount": amount, "_paid": paid})
         .withColumns(
             {

@@ -666,6 +666,7 @@ SQL["audit_summary"] = query(
         [
             _audit("customer_master", "customers", None),
             _audit("project_master", "projects", None),
+            _audit("contract_master", "contracts", None),
             _audit("invoice_header", "headers", "invoice_total"),
             _audit("invoice_line", "lines", "line_amount"),
             _audit("open_ar", "open_items", "amount_due"),
@@ -673,6 +674,7 @@ SQL["audit_summary"] = query(
     ),
     "customers",
     "projects",
+    "contracts",
     "headers",
     "lines",
     "open_items",
@@ -713,16 +715,15 @@ SQL["recon_rejected"] = query(
     _metric("quality", "rejected_record_count", "(SELECT count(*) FROM invoice_conformed WHERE invalid_reason <> '')"), "invoice_conformed"
 )
 SQL["recon_duplicates"] = query(_duplicates[0], "invoice_feed")
-SQL["recon_match_accuracy"] = query(
-    " UNION ALL ".join(
-        [
-            _metric("entity_resolution", "high_confidence_match_count", "(SELECT count(*) FILTER (overall_match_confidence >= 0.97) FROM match_final)"),
-            _metric("entity_resolution", "total_match_count", "(SELECT count(*) FROM match_final)"),
-            _metric("entity_resolution", "match_accuracy", "(SELECT round(avg(CASE WHEN overall_match_confidence >= 0.97 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) FROM match_final)"),
-        ]
-    ),
-    "match_final",
-)
+_MATCHED = " UNION ALL ".join(
+    _metric("entity_resolution", name, f"(SELECT {value} FROM match_final)")
+    for name, value in {
+        "high_confidence_match_count": "count(*) FILTER (overall_match_confidence >= 0.97)",
+        "total_match_count": "count(*)",
+        "match_accuracy": "count(*) FILTER (overall_match_confidence >= 0.97) / count(*)",
+    }.items()
+)
+SQL["recon_match_accuracy"] = query(_MATCHED, "match_final")
 _REPORT = " UNION ALL ".join(
     [
         *_counts,
@@ -744,7 +745,7 @@ _REPORT = " UNION ALL ".join(
     ]
 )
 _REPORT_NEEDS = ("invoice_feed", "invoice_valid", "contract_feed", "contract_valid", "study_conformed", "detected")
-SQL["recon_report"] = query(_REPORT, *_REPORT_NEEDS)
+SQL["recon_report"] = query(f"{_REPORT} UNION ALL {_MATCHED}", *_REPORT_NEEDS, "match_final")
 SQL["report_alerts"] = query(
     f"""SELECT * FROM ({_REPORT}) WHERE (metric_name = 'record_count_delta' AND (metric_value < -10 OR metric_value > 10))
   OR (metric_name = 'delete_count' AND metric_value > 100000000000) OR (metric_name = 'duplicate_count' AND metric_value > 0)""",

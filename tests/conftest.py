@@ -13,6 +13,8 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]")
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
+        # tiny inputs: compiling every stage would take most of the time (check.py runs with it)
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
