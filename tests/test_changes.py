@@ -24,7 +24,7 @@ def rows_of(df):
 def snapshots(spark, seed):
     rng = random.Random(seed)
     return [
-        frame(spark, [(f"k{i}", str(i % 2), str(rng.randrange(2))) for i in range(30) if rng.random() < 0.7])
+        staged(frame(spark, [(f"k{i}", str(i % 2), str(rng.randrange(2))) for i in range(30) if rng.random() < 0.7]))
         for _ in range(3)
     ]
 
@@ -58,7 +58,7 @@ def test_composite_and_missing_keys(spark):
 def test_applying_the_difference_gives_the_source(spark, seed):
     old, new, _ = snapshots(spark, seed)
     keys = ["id", "part"]
-    found = cdc.detect_changes(new, old, keys)
+    found = staged(cdc.detect_changes(new, old, keys))
     applied = cdc.apply_changes(old, found, keys)
     assert rows_of(applied) == rows_of(new)
     assert rows_of(cdc.apply_changes(applied, found, keys)) == rows_of(new)
@@ -86,8 +86,8 @@ def test_history_step_by_step_and_rebuilt_agree(spark, seed):
     keys = ["id", "part"]
     a, b, c = snapshots(spark, seed)
     rows = hist.open_history(a, T1)
-    rows = hist.apply_scd2(rows, cdc.detect_changes(b, a, keys), keys, T2)
-    rows = hist.apply_scd2(rows, cdc.detect_changes(c, b, keys), keys, T3)
+    rows = hist.apply_scd2(rows, staged(cdc.detect_changes(b, a, keys)), keys, T2)
+    rows = staged(hist.apply_scd2(staged(rows), staged(cdc.detect_changes(c, b, keys)), keys, T3))
     rebuilt = hist.history_from_snapshots([(T1, a), (T2, b), (T3, c)], keys)
     columns = [*keys, "value", "record_hash", "effective_from_ts", "effective_to_ts", "is_current"]
     assert sorted(map(str, rows.select(*columns).collect())) == sorted(map(str, rebuilt.select(*columns).collect()))
