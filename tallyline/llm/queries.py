@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tallyline.llm import mixing
+from tallyline.llm import mixing, packing
 
 QUERIES = {
+    "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op3_source_mix": mixing.op3_source_mix,
 }
 
