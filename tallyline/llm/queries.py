@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from tallyline.llm import mixing, packing
+from tallyline.llm import langid, mixing, packing, topk
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op3_source_mix": mixing.op3_source_mix,
+    "op4_exact_topk": topk.op4_exact_topk,
+    "op8_language_id": langid.op8_language_id,
 }
 
 SQL = {
     "op3_source_mix": mixing.OP3_SQL,
+    "op4_exact_topk": topk.OP4_SQL,
 }
