@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from tallyline.llm import langid, mixing, packing, topk
+from tallyline.llm import langid, mixing, packing, topk, vectordup
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op3_source_mix": mixing.op3_source_mix,
     "op4_exact_topk": topk.op4_exact_topk,
     "op8_language_id": langid.op8_language_id,
+    "op9_embedding_dedup": vectordup.op9_embedding_dedup,
 }
 
 SQL = {
     "op3_source_mix": mixing.OP3_SQL,
     "op4_exact_topk": topk.OP4_SQL,
+    "op9_embedding_dedup": vectordup.OP9_SQL,
 }
