@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tallyline.llm import langid, mixing, packing, topk, vectordup
+from tallyline.llm import langid, mixing, packing, quality, topk, vectordup
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op3_source_mix": mixing.op3_source_mix,
     "op4_exact_topk": topk.op4_exact_topk,
+    "op5_quality_classifier": quality.op5_quality_classifier,
     "op8_language_id": langid.op8_language_id,
     "op9_embedding_dedup": vectordup.op9_embedding_dedup,
 }
