@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +49,58 @@ def unpacked(payload: bytes) -> pa.Table:
     return pa.ipc.open_stream(payload).read_all()
 
 
+def dealt(batch: pa.RecordBatch, bucket: np.ndarray, kind: int) -> pa.RecordBatch:
+    """Rows packed by bucket: ``bucket, kind, payload``."""
+    order = np.argsort(bucket, kind="stable")
+    found, first = np.unique(bucket[order], return_index=True)
+    ends = np.append(first[1:], len(order))
+    rows = batch.take(pa.array(order))
+    payloads = [packed(rows.slice(a, b - a)) for a, b in zip(first, ends, strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(found.astype(np.int64)), pa.array([kind] * len(found), pa.int32()), pa.array(payloads, pa.binary())],
+        names=["bucket", "kind", "payload"],
+    )
+
+
+#: Schema of packed rows.
+DEALT = "bucket long, kind int, payload binary"
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after another, and the number of words of each text; null texts have none."""
+    trimmed = pc.ascii_trim_whitespace(texts.fill_null("").cast(pa.large_string()))
+    split = pc.ascii_split_whitespace(trimmed)
+    counts = np.diff(np.asarray(split.offsets))
+    words = split.flatten()
+    blank = np.asarray(pc.binary_length(trimmed)) == 0  # an empty text splits into one empty word
+    if blank.any():
+        words = words.filter(pc.greater(pc.binary_length(words), 0))
+        counts = np.where(blank, 0, counts)
+    return words, counts
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in ranges of rows whose texts add up to about ``most`` bytes; a larger text comes alone."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
+    start, total = 0, 0
+    for k, x in enumerate(sizes.tolist()):
+        if k > start and total + x > most:
+            yield batch.slice(start, k - start)
+            start, total = k, 0
+        total += x
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A bijective scramble of 64-bit numbers."""
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components by alternating large-star and small-star rounds.
 

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import packed, parts, stage, table, unpacked
+from tallyline.llm.common import DEALT, dealt, packed, parts, split_words, stage, table, unpacked
 from tallyline.llm.langid import HashTable
 
 #: Words of the shared vocabulary; the rest are one unknown word. Ids take 16 bits with it and the start.
@@ -30,10 +30,10 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Lower-case words as 64-bit hashes, and the number of words of each text."""
     import xxhash
 
-    split = pc.ascii_split_whitespace(pc.utf8_lower(texts.fill_null("").cast(pa.large_string())))
-    coded = split.flatten().dictionary_encode()
+    words, counts = split_words(pc.utf8_lower(texts.fill_null("").cast(pa.large_string())))
+    coded = words.dictionary_encode()
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    return hashes[np.asarray(coded.indices)] if len(coded.indices) else np.empty(0, np.uint64), np.diff(np.asarray(split.offsets))
+    return hashes[np.asarray(coded.indices)] if len(coded.indices) else np.empty(0, np.uint64), counts
 
 
 def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> np.ndarray:
@@ -113,15 +113,7 @@ def _bucket(pairs: np.ndarray, n: int) -> np.ndarray:
 
 
 def _dealt(columns: dict[str, np.ndarray], bucket: np.ndarray, kind: int) -> pa.RecordBatch:
-    """Rows packed by bucket: ``bucket, kind, payload``."""
-    order = np.argsort(bucket, kind="stable")
-    found, first = np.unique(bucket[order], return_index=True)
-    ends = np.append(first[1:], len(order))
-    payloads = [packed(pa.RecordBatch.from_arrays([pa.array(x[order[a:b]]) for x in columns.values()], names=list(columns))) for a, b in zip(first, ends, strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array([kind] * len(found), pa.int32()), pa.array(payloads, pa.binary())], names=["bucket", "kind", "payload"])
-
-
-DEALT = "bucket long, kind int, payload binary"
+    return dealt(pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], names=list(columns)), bucket, kind)
 
 
 def bigram_counts(rows: DataFrame) -> DataFrame:

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from tallyline.llm import langid, mixing, packing, quality, topk, vectordup
+from tallyline.llm import langid, lmscore, mixing, packing, quality, substrings, topk, vectordup
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op2_substring_dedup": substrings.op2_substring_dedup,
     "op3_source_mix": mixing.op3_source_mix,
     "op4_exact_topk": topk.op4_exact_topk,
     "op5_quality_classifier": quality.op5_quality_classifier,
     "op8_language_id": langid.op8_language_id,
     "op9_embedding_dedup": vectordup.op9_embedding_dedup,
+    "op10_lm_scoring": lmscore.op10_lm_scoring,
 }
 
 SQL = {
+    "op2_substring_dedup": substrings.OP2_SQL,
     "op3_source_mix": mixing.OP3_SQL,
     "op4_exact_topk": topk.OP4_SQL,
     "op9_embedding_dedup": vectordup.OP9_SQL,
