@@ -181,7 +181,7 @@ def _second_pass(docs: DataFrame, told: DataFrame, form: Form, n: int) -> DataFr
         rows = pa.concat_tables(got)
         del got
         content = rows.column("content").combine_chunks()
-        which, first, count = form.repeats(content, _numbers(rows, "count"), _numbers(rows, "doc_id"))
+        which, first, count = form.repeats(content, _numbers(rows, "count").astype(np.int64), _numbers(rows, "doc_id"))
         if len(which):
             row = _numbers(rows, "row")[which]
             start = _numbers(rows, "start")[which].astype(np.int64) + first
