@@ -95,22 +95,26 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_e
     """
     columns = docs.columns
     plan = mix(sized_documents(docs), weights, max_epochs).where("taken > 0")
-    key = F.xxhash64("doc_id", "source").alias("_mix_key")
-    plan = plan.select(key, F.col("doc_id").alias("_mix_doc"), F.col("size").alias("_mix_size"), F.col("epochs").alias("_mix_epochs"), F.col("part").alias("_mix_part"))
-    plan = plan.dropDuplicates(["_mix_key", "_mix_doc", "_mix_size"])
-    taken = docs.withColumn("_mix_key", F.xxhash64("doc_id", "source")).withColumn("_mix_n", word_count(F.col("text")))
-    taken = taken.join(
-        plan,
-        (taken["_mix_key"] == plan["_mix_key"]) & F.equal_null(F.col("doc_id"), F.col("_mix_doc")) & (F.col("_mix_n") == F.col("_mix_size")),
-    )
-    whole = F.expr("if(_mix_part = _mix_size, _mix_epochs + 1, _mix_epochs)")
-    copies = F.array_repeat(F.col("_mix_size"), whole.cast("int"))
-    cut = F.expr("if(_mix_part > 0 and _mix_part < _mix_size, array(_mix_part), array())").cast("array<bigint>")
+    same = ["_mix_doc", "_mix_source", "_mix_n"]
+    plan = plan.select(
+        F.col("doc_id").alias("_mix_doc"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_n"),
+        F.col("epochs").alias("_mix_epochs"), F.col("part").alias("_mix_part"),
+    )
+    # rows alike in all three are told apart by number; which of them gets which share does not matter
+    plan = plan.withColumn("_mix_row", F.row_number().over(Window.partitionBy(*same).orderBy(F.desc("_mix_part"))))
+    plan = plan.withColumnsRenamed({c: f"{c}_" for c in (*same, "_mix_row")})
+    taken = docs.withColumn("_mix_doc", F.col("doc_id")).withColumn("_mix_source", F.col("source")).withColumn("_mix_n", word_count(F.col("text")))
+    taken = taken.withColumn("_mix_row", F.row_number().over(Window.partitionBy(*same).orderBy("text")))
+    alike = [F.equal_null(F.col(c), F.col(f"{c}_")) for c in (*same, "_mix_row")]
+    taken = taken.join(plan, alike[0] & alike[1] & alike[2] & alike[3])
+    whole = F.expr("if(_mix_part = _mix_n, _mix_epochs + 1, _mix_epochs)")
+    copies = F.array_repeat(F.col("_mix_n"), whole.cast("int"))
+    cut = F.expr("if(_mix_part > 0 and _mix_part < _mix_n, array(_mix_part), array())").cast("array<bigint>")
     taken = taken.withColumn("_mix_take", F.explode(F.concat(copies, cut)))
     head = F.array_join(F.slice(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != ""), 1, F.col("_mix_take").cast("int")), " ")
-    taken = taken.withColumn("text", F.when(F.col("_mix_take") < F.col("_mix_size"), head).otherwise(F.col("text")))
+    taken = taken.withColumn("text", F.when(F.col("_mix_take") < F.col("_mix_n"), head).otherwise(F.col("text")))
     if "n_chars" in columns:
-        taken = taken.withColumn("n_chars", F.when(F.col("_mix_take") < F.col("_mix_size"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        taken = taken.withColumn("n_chars", F.when(F.col("_mix_take") < F.col("_mix_n"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return taken.select(*columns)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyline.llm import langid, lmscore, mixing, packing, quality, substrings, suffixes, topk, vectordup
+from tallyline.llm import langid, lmscore, mixing, neardup, packing, quality, substrings, suffixes, topk, vectordup
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_source_mix": mixing.op3_source_mix,
     "op4_exact_topk": topk.op4_exact_topk,
     "op5_quality_classifier": quality.op5_quality_classifier,
+    "op6_minhash_neardup": neardup.op6_minhash_neardup,
     "op7_suffix_dedup": suffixes.op7_suffix_dedup,
     "op8_language_id": langid.op8_language_id,
     "op9_embedding_dedup": vectordup.op9_embedding_dedup,
