@@ -55,11 +55,14 @@ def conform(df: DataFrame, spec: ConformSpec) -> DataFrame:
     """One row per business key with its standardized columns and ``invalid_reason``.
 
     The newest row of a key wins before it is judged, so a newest row that breaks a rule hides an
-    older valid one. Only the key is computed ahead of the shuffle; the other columns and the rules
-    are evaluated on the surviving rows.
+    older valid one. Rows whose key parts are all blank have nothing in common: they skip the
+    deduplication and the shuffle, and each is judged by itself. Only the key is computed ahead of
+    the shuffle; the other columns and the rules are evaluated on the surviving rows.
     """
-    key = business_key(*[FORMS[form](raw) for form, raw in spec.key])
-    newest = deduplicate_by_key(df.withColumn("business_key", key), "business_key")
+    parts = [FORMS[form](raw) for form, raw in spec.key]
+    keyed = df.withColumn("business_key", business_key(*parts))
+    keyless = F.concat(*[F.coalesce(p.cast("string"), F.lit("")) for p in parts]) == ""
+    newest = deduplicate_by_key(keyed.where(~keyless), "business_key").unionByName(keyed.where(keyless))
     return standardize(newest, spec.standard).withColumn("invalid_reason", join_reasons({code: F.expr(rule) for code, rule in spec.rules.items()}))
 
 

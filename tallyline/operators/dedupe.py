@@ -37,9 +37,10 @@ def top_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Col
 def deduplicate_by_key(
     df: DataFrame, key: str | Sequence[str], order: Sequence[Column] | None = None
 ) -> DataFrame:
-    """Newest row per key. Without lineage columns the smallest row content wins."""
+    """Newest row per key. Where lineage columns leave a tie, the smallest row content wins."""
     keys = [key] if isinstance(key, str) else list(key)
-    order = list(order) if order is not None else newest_first(df.columns)
-    if not order:
-        order = [F.col(f"`{c}`").asc_nulls_last() for c in df.columns if c not in keys] or [F.lit(1)]
-    return top_per_key(df, keys, order)
+    if order is None:
+        order = newest_first(df.columns)
+        if "record_hash" not in df.columns:
+            order += [F.col(f"`{c}`").asc_nulls_last() for c in df.columns if c not in keys]
+    return top_per_key(df, keys, list(order) or [F.lit(1)])

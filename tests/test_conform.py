@@ -53,6 +53,22 @@ def test_valid_and_rejected_make_up_the_deduplicated_input(raw):
         assert whole.count() == whole.select("business_key").distinct().count()
 
 
+def test_every_record_without_a_key_is_judged(spark):
+    blank_rows = [(x, f"name {i}", "p", "b", "n", "Active") for i, x in enumerate([None, "", "  ", "-", None])]
+    keyed = [("SPN1", "a", "p", "b", "n", "Active"), ("spn-1", "b", "p", "b", "n", "Active"), ("SPN2", "c", "p", "b", "n", "Active")]
+    df = _rows(spark, trials.SPONSOR_COLUMNS, blank_rows + blank_rows + keyed)
+    valid, rejected = trials.transform("sponsor", df)
+    assert (valid.count(), rejected.count()) == (2, 2 * len(blank_rows))
+    assert {r.invalid_reason for r in rejected.collect()} == {"sponsor_external_id_required"}
+    assert conform(df.where("false"), trials.SPONSOR).count() == 0
+
+
+def test_ties_in_time_go_by_content(spark):
+    df = spark.createDataFrame([("k", 1, "b"), ("k", 1, "a"), ("k", 0, "0")], "key string, ingestion_timestamp int, v string")
+    for shuffled in (df, df.orderBy("v"), df.repartition(3)):
+        assert deduplicate_by_key(shuffled, "key").first().v == "a"
+
+
 def _rows(spark, columns, rows):
     return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
 
