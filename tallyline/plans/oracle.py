@@ -136,13 +136,14 @@ def _money(c: str) -> str:
 
 
 def _conformed(entity: str, feed: str, key: str, std: dict[str, str], rules: dict[str, str]) -> None:
-    """Deduplicate on the key, then standardize and judge."""
+    """Deduplicate on the key, rows without any key apart, then standardize and judge."""
     standard = ", ".join(f"{sql} AS {name}" for name, sql in std.items())
     reasons = ", ".join(f"CASE WHEN {rule} THEN '{code}' END" for code, rule in rules.items())
     cte(
         f"{entity}_newest",
         f"""SELECT * FROM (SELECT *, {key} AS business_key FROM {feed})
-QUALIFY row_number() OVER (PARTITION BY business_key ORDER BY batch_date DESC, record_hash) = 1""",
+QUALIFY replace(business_key, '|', '') = ''
+  OR row_number() OVER (PARTITION BY business_key ORDER BY batch_date DESC, record_hash) = 1""",
         feed,
     )
     cte(f"{entity}_std", f"SELECT *, {standard} FROM {entity}_newest", f"{entity}_newest")
