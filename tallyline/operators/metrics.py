@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.operators.changes import CHANGE_TYPES
+from tallyline.operators.changes import CHANGE_TYPES, INSERT, NO_CHANGE, UPDATE
 from tallyline.operators.skew import skew_join
 
 METRIC_COLUMNS = ("metric_group", "metric_name", "metric_value")
@@ -135,6 +135,17 @@ def change_type_counts(changes: DataFrame, group: str = "delta_load") -> DataFra
     return metric_rows(counts, {f"{kind}_count": F.col(kind) for kind in CHANGE_TYPES}, group)
 
 
+def change_counts_of_versions(changes: DataFrame, records: DataFrame, group: str = "delta_load") -> DataFrame:
+    """The same where only changing rows are stored: ``records`` holds the rows after the changes, and
+    those neither inserted nor updated have not changed."""
+    kinds = [k for k in CHANGE_TYPES if k != NO_CHANGE]
+    counted = changes.agg(*[F.count_if(F.col("change_type") == k).alias(k) for k in kinds], F.lit(0).cast("long").alias("n"))
+    whole = records.agg(*[F.lit(0).cast("long").alias(k) for k in kinds], F.count("*").alias("n"))
+    both = counted.unionByName(whole).agg(*[F.sum(c).alias(c) for c in (*kinds, "n")])
+    same = F.col("n") - F.col(INSERT) - F.col(UPDATE)
+    return metric_rows(both, {f"{k}_count": same if k == NO_CHANGE else F.col(k) for k in CHANGE_TYPES}, group)
+
+
 def assemble_report(*metrics: DataFrame, generated_at: datetime | None = None) -> DataFrame:
     """All metric rows with one report timestamp."""
     report = metrics[0]
