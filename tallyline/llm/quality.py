@@ -20,8 +20,9 @@ BINS = 1 << 18
 ROWS_AT_ONCE = 2000
 #: Pseudo-documents behind each feature: a word seen in few labelled documents carries little evidence.
 PRIOR = 10.0
-#: Documents that fit the evidence's scale, chosen by a hash of doc_id; the word counts use all labelled ones.
-CALIBRATION_DOCS = 20_000
+#: The classifier is fitted on about this many labelled rows, chosen by a hash of doc_id; fewer are all used.
+#: The sample's ids and labels are what a task gets of them, so the texts need no shuffle.
+SAMPLE_DOCS = 60_000
 TARGETS = ("quality", "toxic")
 #: A host's or path's prior is worth between these numbers of documents.
 STRENGTH = (1.0, 1000.0)
@@ -100,12 +101,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 30) -> tuple[np.ndarray
     return beta[:-1] / scale, float(beta[-1])
 
 
-def fit_evidence(labelled: DataFrame, calibration_docs: int = CALIBRATION_DOCS) -> Evidence:
+def label_sample(labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """About ``sample_docs`` labelled doc_ids with their labels; repeated labels of one id become the larger."""
+    rows = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    rows = rows.agg(*[F.max(F.col(t).cast("int")).alias(t) for t in TARGETS])
+    share = min(1.0, sample_docs / max(rows.count(), 1))
+    return rows.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(share * 1_000_000))
+
+
+def fit_evidence(labelled: DataFrame) -> Evidence:
     """Fit on ``text, quality, toxic``; rows with null labels are left out of that target.
 
-    Counts of documents by feature and class come from all labelled rows through grouped sums over a
-    fixed number of bins; the scale of the evidence is fitted on a hash sample of ``calibration_docs``
-    documents at most twice over. What reaches the driver is bounded by these two parameters.
+    Counts of documents by feature and class are grouped sums over a fixed number of bins. A fifth of the
+    texts is kept from the counts and fits the evidence's scale; of these four numbers a row reach the
+    driver, so ``labelled`` should be a bounded sample.
     """
     rows = labelled.select("text", *[F.col(t).cast("int") for t in TARGETS])
     draw = F.pmod(F.xxhash64("text", F.lit(3)), F.lit(5))
@@ -141,8 +150,6 @@ def fit_evidence(labelled: DataFrame, calibration_docs: int = CALIBRATION_DOCS)
             weights[k, got.index] = np.log(up / down)
     model = Evidence(weights, np.zeros((len(TARGETS), 2)), np.zeros(len(TARGETS)), np.zeros(len(TARGETS)))
     spare = rows.where(draw == 0)
-    n = spare.count()
-    spare = spare.where(F.pmod(F.xxhash64("text", F.lit(4)), F.lit(1_000_000)) < 1_000_000 * min(1.0, calibration_docs / max(n, 1)))
     bc = rows.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,6 +268,6 @@ def with_host(docs: DataFrame) -> DataFrame:
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posterior quality and toxicity of every document, learned from the labels."""
     docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    model = fit_evidence(docs.select("doc_id", "text").join(labels, "doc_id").where("text is not null"))
+    sample = F.broadcast(label_sample(table(spark, sf_dir, "labels")))  # at most about SAMPLE_DOCS rows
+    model = fit_evidence(docs.select("doc_id", "text").join(sample, "doc_id").where("text is not null"))
     return assess(with_host(docs), model)
