@@ -92,14 +92,13 @@ class Recompression:
 
         def choose(name: np.ndarray, a: np.ndarray, z: np.ndarray, tag: int) -> None:
             """Windows without a key take the least name of those with a > start and z < start + w."""
-            low, high = np.maximum(z - w + 1, 0), np.minimum(a - 1, n - 1)
+            low, high = z - w + 1, np.minimum(a - 1, n - 1)
             use = low <= high
             name, low, high = mix64(name[use] + U(tag)), low[use], high[use]
             best = np.full(n, none, U)
             for step in range(w - 1):
-                on = low + step <= high
-                at = low[on] + step
-                # ends differ between neighbours, so no window is named twice here
+                on = (low + step <= high) & (low + step >= 0)
+                at = low[on] + step  # ends differ between symbols, so no window is named twice here
                 best[at] = np.minimum(best[at], name[on])
             take = open_ & (best != none)
             key[take] = best[take]
