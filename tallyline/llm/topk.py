@@ -103,7 +103,8 @@ def _exact(q_ids: np.ndarray, q: np.ndarray, blocks: list[tuple[np.ndarray, np.n
     out = []
     for own, v in zip(q_ids, q, strict=True):
         mine = [int(x) for x in v]
-        scored = [(-sum(a * b for a, b in zip(mine, w, strict=True)), i) for i, w in rows if i != own]
+        found = ((sum(a * b for a, b in zip(mine, w, strict=True)), i) for i, w in rows if i != own)
+        scored = [(-max(min(s, 2**63 - 1), -(2**63)), i) for s, i in found]
         out.append([(-s, i) for s, i in sorted(scored)[:k]])
     return out
 
@@ -118,7 +119,7 @@ def _search_task(payloads: list[bytes], queries: list[bytes], dim: int, k: int)
             at = np.nonzero(np.isfinite(score))
             found = q_ids[at[0]], ident[at], score[at].astype(np.int64)
         else:
-            rows = [(q_ids[n], i, max(min(s, 2**63 - 1), -(2**63))) for n, x in enumerate(_exact(q_ids, q, blocks, k)) for s, i in x]
+            rows = [(q_ids[n], i, s) for n, x in enumerate(_exact(q_ids, q, blocks, k)) for s, i in x]
             found = tuple(zip(*rows, strict=True)) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["query_id", "vec_id", "score"])
 
@@ -151,7 +152,7 @@ def top_k(
         groups = max(1, -(-df.count() // each))
         return df.withColumn("group", F.pmod(F.xxhash64("payload"), F.lit(groups)).cast("int")), groups
 
-    (blocks, rows_of), (asked, columns_of) = dealt(blocks, BLOCKS_PER_TASK), dealt(asked, QUERIES_PER_TASK // BLOCK)
+    (blocks, rows_of), (asked, columns_of) = dealt(blocks, BLOCKS_PER_TASK), dealt(asked, max(1, QUERIES_PER_TASK // BLOCK))
     left = blocks.select("dim", F.col("group").alias("g"), F.explode(F.sequence(F.lit(0), F.lit(columns_of - 1))).alias("h"), F.lit(0).alias("kind"), "payload")
     right = asked.select("dim", F.explode(F.sequence(F.lit(0), F.lit(rows_of - 1))).alias("g"), F.col("group").alias("h"), F.lit(1).alias("kind"), "payload")
 
