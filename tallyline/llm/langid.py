@@ -224,7 +224,7 @@ class Model:
         self.temperature = float(grid[int(np.argmin(losses))])
         for k in range(len(self.languages)):
             own = h[y == k, k]
-            if len(own) > 20:
+            if len(own) >= 5:
                 self.limits[k] = own.max() + 2 * own.std()
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
