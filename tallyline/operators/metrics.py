@@ -60,6 +60,13 @@ def source_vs_target_total(
     )
 
 
+def unparsed_count(df: DataFrame, column: str, group: str) -> DataFrame:
+    """Amounts that are there but add nothing to a total: they do not parse or do not fit."""
+    value = F.col(column)
+    lost = value.isNotNull() & (F.trim(value.cast("string")) != "") & value.try_cast("decimal(18,2)").isNull()
+    return metric_rows(df.agg(F.count_if(lost).alias("n")), {"unparsed_count": F.col("n")}, group)
+
+
 def rejected_record_count(rejected: DataFrame, group: str = "quality") -> DataFrame:
     return metric_rows(rejected.agg(F.count("*").alias("n")), {"rejected_record_count": F.col("n")}, group)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions import (
@@ -26,6 +26,7 @@ from tallyline.operators import changes as cdc
 from tallyline.operators import history, metrics, quality
 from tallyline.operators.conform import conform, normalize_join_keys, split
 from tallyline.operators.dedupe import deduplicate_by_key, top_per_key
+from tallyline.operators.hierarchy import roll_up
 from tallyline.operators.joins import any_key_join, link_on_keys, prefixed, priority_join
 from tallyline.operators.match import score_pairs, similar_values
 from tallyline.operators.skew import skew_join
@@ -42,8 +43,9 @@ from tallyline.sources import (
     shared_dir,
     staged,
     write_conformed,
+    write_version,
 )
-from tallyline.streaming import ingest_stream, read_current, read_stream_parquet, upsert_stream
+from tallyline.streaming import compact, ingest_stream, read_current, read_stream_csv, read_stream_parquet, upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -253,6 +255,49 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return read_current(spark, root, ["user_id"], order).select("user_id", "event_id", "event_type", "value")
 
 
+def _land_events(spark: SparkSession, sf: str, root: str, text: bool) -> None:
+    """The events as files of their own, dealt by a hash of their id, so that a stream takes several batches."""
+    events = table(spark, sf, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    dealt = events.select(*[F.col(c).cast("string") for c in EVENT_COLUMNS]).repartition(4, "event_id")
+    (dealt.write.option("header", True).csv if text else dealt.write.parquet)(f"{root}/landing")
+
+
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value")
+
+
+@query
+def stream_csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    root = shared_dir(spark, "stream")
+    _land_events(spark, sf, root, text=True)
+    stream = read_stream_csv(spark, f"{root}/landing", EVENT_COLUMNS, files_per_trigger=1)
+    ingest_stream(stream, f"{root}/raw", f"{root}/checkpoint", "events", "load-1", LOADED).awaitTermination()
+    return spark.read.parquet(f"{root}/raw").select(*EVENT_COLUMNS, "source_system", "load_id", "record_hash")
+
+
+@query
+def stream_upsert_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Several batches with late rows; an ``error`` event deletes its user; the first batches are folded."""
+    root = shared_dir(spark, "stream")
+    _land_events(spark, sf, root, text=False)
+    order = [F.col("ts").desc(), F.col("event_id").cast("long").desc()]
+    stream = read_stream_parquet(spark, f"{root}/landing", spark.read.parquet(f"{root}/landing").schema, "*.parquet", 1)
+    upsert_stream(stream, root, f"{root}/checkpoint", ["user_id"], order).awaitTermination()
+    compact(spark, root, ["user_id"], order, upto=1)
+    compact(spark, root, ["user_id"], order, upto=2, compacted_to=1)
+    now = read_current(spark, root, ["user_id"], order, compacted_to=2, deleted=F.col("event_type") == "error")
+    return now.select("user_id", "event_id", "event_type", "ts")
+
+
+@query
+def written_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A table, the next version made from it, both written and read back."""
+    root = shared_dir(spark, "versions")
+    first = spark.read.parquet(write_version(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), root, 1))
+    write_version(first.where("o_orderstatus <> 'F'").withColumn("o_orderstatus", F.lower("o_orderstatus")), root, 2)
+    both = spark.read.parquet(root)
+    return both.select("version", "o_orderkey", "o_custkey", "o_orderstatus")
+
+
 # --- quality and conformance ------------------------------------------------------------------
 
 
@@ -367,6 +412,13 @@ def full_row_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return lineitem.select("l_partkey", "l_returnflag", "l_linestatus").distinct()
 
 
+@query
+def whole_row_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    """All columns, over a table in which two thirds of the rows occur twice."""
+    lineitem = table(spark, sf, "lineitem")
+    return lineitem.union(lineitem.where("l_orderkey % 3 <> 0")).distinct()
+
+
 # --- joins ------------------------------------------------------------------------------------
 
 
@@ -783,6 +835,28 @@ def parent_rollup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def parent_rollup_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """Balances of customers over nations and regions up to the world."""
+    customer, nation, region = (table(spark, sf, t) for t in ("customer", "nation", "region"))
+
+    def node(kind: str, column: str) -> Column:
+        return F.concat(F.lit(f"{kind}-"), F.col(column))
+
+    parents = customer.select(node("c", "c_custkey").alias("node"), node("n", "c_nationkey").alias("parent"))
+    parents = parents.union(nation.select(node("n", "n_nationkey"), node("r", "n_regionkey")))
+    parents = parents.union(region.select(node("r", "r_regionkey"), F.lit("world")))
+    found = roll_up(customer.select(node("c", "c_custkey").alias("node"), F.col("c_acctbal").alias("amount")), parents)
+    return found.select("node", F.col("amount").cast("double").alias("amount"), "members")
+
+
+@query
+def recon_unparsed(spark: SparkSession, sf: str) -> DataFrame:
+    return metrics.unparsed_count(table(spark, sf, "events"), "props", "events").unionByName(
+        metrics.unparsed_count(invoice_feed(spark, sf), "invoice_amount", "invoice_total")
+    )
+
+
 @query
 def site_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return _valid(spark, sf, "site").groupBy("site_code_std").agg(F.count("*").alias("studies"))

@@ -504,6 +504,26 @@ SQL["stream_ingest"] = f"""SELECT event_id, user_id, event_type, props, 'events'
 SQL["stream_upsert"] = SQL["dedupe_latest"] = """SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
 
+_EVENT = "CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, CAST(user_id AS VARCHAR) AS user_id, event_type, CAST(value AS VARCHAR) AS value"
+SQL["stream_csv_ingest"] = f"""SELECT *, 'events' AS source_system, 'load-1' AS load_id,
+  {hashed(('event_id', 'ts', 'user_id', 'event_type', 'value'))} AS record_hash FROM (SELECT {_EVENT} FROM events)"""
+SQL["stream_upsert_batches"] = f"""SELECT user_id, event_id, event_type, ts FROM (SELECT {_EVENT} FROM events
+  QUALIFY row_number() OVER (PARTITION BY events.user_id ORDER BY events.ts DESC, events.event_id DESC) = 1)
+WHERE event_type <> 'error'"""
+SQL["written_versions"] = """SELECT CAST(1 AS INTEGER) AS version, o_orderkey, o_custkey, o_orderstatus FROM orders
+UNION ALL SELECT 2, o_orderkey, o_custkey, lower(o_orderstatus) FROM orders WHERE o_orderstatus <> 'F'"""
+SQL["whole_row_distinct"] = "SELECT DISTINCT * FROM lineitem"
+SQL["parent_rollup_levels"] = """SELECT node, CAST(sum(amount) AS DOUBLE) AS amount, count(*) AS members FROM (
+  SELECT unnest(['c-' || c_custkey, 'n-' || c_nationkey, 'r-' || n_regionkey, 'world']) AS node, CAST(c_acctbal AS DECIMAL(38,2)) AS amount
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) GROUP BY node"""
+SQL["recon_unparsed"] = query(
+    """SELECT 'events' AS metric_group, 'unparsed_count' AS metric_name, CAST(count(*) FILTER (trim(props) <> ''
+    AND TRY_CAST(props AS DECIMAL(18,2)) IS NULL) AS DOUBLE) AS metric_value FROM events
+UNION ALL SELECT 'invoice_total', 'unparsed_count', CAST(count(*) FILTER (trim(invoice_amount) <> ''
+    AND TRY_CAST(invoice_amount AS DECIMAL(18,2)) IS NULL) AS DOUBLE) FROM invoice_feed""",
+    "invoice_feed",
+)
+
 _COUNT_BLANK = ", ".join(f"count(*) FILTER ({blank(c)}) AS {c}" for c in ("study_id", "protocol_no", "sponsor_external_id", "site_code"))
 SQL["required_violations"] = query(f"SELECT {_COUNT_BLANK} FROM study_feed", "study_feed")
 SQL["completeness_gate"] = query(

@@ -35,15 +35,27 @@ def upsert_stream(
 
 
 def read_current(
-    spark: SparkSession, root: str, keys: Sequence[str], order: Sequence[Column], compacted_to: int | None = None
+    spark: SparkSession,
+    root: str,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    compacted_to: int | None = None,
+    deleted: Column | None = None,
 ) -> DataFrame:
-    """The table. Give ``compacted_to`` to read the folded table and only the batches after it."""
+    """The table. Give ``compacted_to`` to read the folded table and only the batches after it.
+
+    Keys whose newest row is ``deleted`` are left out. Such rows stay in the log and in folded tables,
+    so a row that arrives late does not bring a deleted key back.
+    """
     changes = spark.read.parquet(f"{root}/changes")
     if compacted_to is not None:
-        changes = changes.where(F.col("batch_id") > compacted_to).drop("batch_id")
+        changes = changes.where(F.col("batch_id") > compacted_to)
         base = spark.read.parquet(f"{root}/base/upto={compacted_to}")
-        return top_per_key(base.unionByName(changes, allowMissingColumns=True), keys, order)
-    return top_per_key(changes.drop("batch_id"), keys, order)
+        rows = base.unionByName(changes.drop("batch_id"), allowMissingColumns=True)
+    else:
+        rows = changes.drop("batch_id")
+    newest = top_per_key(rows, keys, order)
+    return newest if deleted is None else newest.where(~F.coalesce(deleted, F.lit(False)))
 
 
 def compact(

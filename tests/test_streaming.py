@@ -60,3 +60,21 @@ def test_upserts_survive_replays_and_late_rows(spark, tmp_path):
     assert {r.id: r.v for r in streaming.read_current(spark, root, keys, order, compacted_to=1).collect()} == now
     streaming.compact(spark, root, keys, order, upto=2, compacted_to=1)
     assert {r.id: r.v for r in streaming.read_current(spark, root, keys, order, compacted_to=2).collect()} == now
+
+
+def test_deleted_keys_stay_deleted(spark, tmp_path):
+    landing, root, checkpoint = str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "checkpoint")
+    keys, order, gone = ["id"], [F.col("ts").desc()], F.col("v") == "delete"
+
+    def run(compacted_to=None):
+        stream = streaming.read_stream_parquet(spark, landing, spark.read.parquet(landing).schema, "*.parquet", 1)
+        streaming.upsert_stream(stream, root, checkpoint, keys, order).awaitTermination()
+        return {r.id: r.v for r in streaming.read_current(spark, root, keys, order, compacted_to, gone).collect()}
+
+    _write(spark, landing, [("a", 5, "delete"), ("b", 1, "b1"), ("c", 1, None)])
+    assert run() == {"b": "b1", "c": None}
+    streaming.compact(spark, root, keys, order, upto=0)
+    _write(spark, landing, [("a", 2, "late"), ("b", 2, "delete")])
+    assert run(compacted_to=0) == {"c": None}
+    _write(spark, landing, [("a", 6, "back")])
+    assert run(compacted_to=0) == {"a": "back", "c": None}
