@@ -60,13 +60,14 @@ def any_key_join(
         f"WHEN {filled_sql(f'l_{k}')} AND CAST(`l_{k}` AS STRING) = CAST(`r_{k}` AS STRING) THEN {i}"
         for i, k in enumerate(keys)
     )
-    pairs = skew_join(lefts, rights, on, hot_right=True).where(f"CASE {first} END = _rank").select(*l_names, *r_names)
+    crowded = hot_keys(lefts, on)
+    pairs = skew_join(lefts, rights, on, hot=crowded, hot_right=True).where(f"CASE {first} END = _rank").select(*l_names, *r_names)
     if how == "inner":
         return pairs
     if left_id is None:
         raise ValueError("a left any_key_join needs left_id")
     # a left row has a partner when one of its keys occurs on the right
-    found = skew_join(lefts.select(f"l_{left_id}", *on), rights.select(*on).distinct(), on, "left_semi")
+    found = skew_join(lefts.select(f"l_{left_id}", *on), rights.select(*on).distinct(), on, "left_semi", hot=crowded)
     alone = prefixed(left, "l_").join(found.select(f"l_{left_id}").distinct(), f"l_{left_id}", "left_anti")
     return pairs.unionByName(alone, allowMissingColumns=True)
 
@@ -103,7 +104,8 @@ def link_on_keys(left: DataFrame, right: DataFrame, on: Sequence[str], suffix: s
     """
     taken = set(left.columns) - set(on)
     renamed = right.select([F.col(c).alias(c + suffix if c in taken else c) for c in right.columns])
-    matched = skew_join(left, renamed, on, hot_right=True)
-    alone = skew_join(left, right.select(*on).distinct(), on, "left_anti")
+    crowded = hot_keys(left, on)
+    matched = skew_join(left, renamed, on, hot=crowded, hot_right=hot_keys(right, on))
+    alone = skew_join(left, right.select(*on).distinct(), on, "left_anti", hot=crowded)
     columns = [*left.columns, *[c for c in renamed.columns if c not in on]]
     return matched.unionByName(alone, allowMissingColumns=True).select(*columns)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import similarity_sql, weighted_score_sql
 from tallyline.operators.joins import key_entries
-from tallyline.operators.skew import hot_items, hot_keys, names_sql, skew_join
+from tallyline.operators.skew import frequent_items, hot_items, hot_keys, names_sql, skew_join
 
 # Distinct right-hand names held in one array row.
 BLOCK_SIZE = 2048
@@ -253,10 +253,10 @@ def similar_values(left: DataFrame, right: DataFrame, least: float, gram: int =
         )
 
     lefts, rights = values(left), values(right)
-    # the 1024 most frequent grams at most, so what is broadcast has a fixed size
-    common = grams(lefts.unionByName(rights)).selectExpr("count(*) AS _n", "approx_top_k(_gram, 1024, 65536) AS _top")
-    counts = F.broadcast(common.selectExpr("inline(_top) AS (_gram, _n)"))
+    # the most frequent grams, 1024 or one per partition, so what is broadcast has a fixed size
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    common = frequent_items(grams(lefts.unionByName(rights)), "_gram", max(1024, partitions), max(1024, partitions))
+    counts = F.broadcast(common.selectExpr("inline(_top) AS (_gram, _n)"))
     hot = hot_items(common, partitions).selectExpr("xxhash64(_hot) AS _hot", "_parts")
 
     def prefixes(df: DataFrame, side: str) -> DataFrame:

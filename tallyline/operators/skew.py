@@ -7,15 +7,16 @@ spreads both kinds of row explicitly.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys can be reported as hot, so the broadcast list is at most 1024 short rows.
-MAX_HOT_KEYS = 1024
-# Counters kept by the frequent-items sketch; its error is a small multiple of rows / this.
-SKETCH_ITEMS = 16384
+# Counters of a frequent-items sketch for each partition that a hot key must fill (within Spark's limits). A key
+# is hot from one partition's share on, the sketch's error is about a quarter of that.
+COUNTERS_PER_PARTITION = 16
+FEWEST_COUNTERS, MOST_COUNTERS = 1024, 1_000_000
 
 
 def names_sql(columns: Sequence[str]) -> str:
@@ -46,16 +47,29 @@ def hot_items(summary: DataFrame, partitions: int) -> DataFrame:
 def hot_keys(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Hashes of the keys too large for one of ``partitions`` tasks, and into how many parts to cut each.
 
-    ``partitions`` is the number of shuffle partitions unless given. One pass over the key columns:
-    each task keeps a frequent-items sketch and only the sketches are shuffled. A wrong estimate
-    changes how rows are spread, never the join result.
+    ``partitions`` is the number of shuffle partitions unless given. At most so many keys can be hot, and
+    the list, which is broadcast, has at most so many short rows. One pass over the key columns: each task
+    keeps a frequent-items sketch and only the sketches are shuffled. A wrong estimate changes how rows
+    are spread, never the join result.
     """
-    summary = (
-        df.where(_present(keys))
-        .selectExpr(f"xxhash64({names_sql(keys)}) AS _h")
-        .selectExpr("count(*) AS _n", f"approx_top_k(_h, {MAX_HOT_KEYS}, {SKETCH_ITEMS}) AS _top")
-    )
-    return hot_items(summary, partitions or _partitions(df))
+    partitions = partitions or _partitions(df)
+    hashes = df.where(_present(keys)).selectExpr(f"xxhash64({names_sql(keys)}) AS _h")
+    return hot_items(frequent_items(hashes, "_h", partitions, partitions), partitions)
+
+
+def frequent_items(df: DataFrame, column: str, most: int, partitions: int) -> DataFrame:
+    """One row (none without rows): the row count ``_n`` and ``_top``, up to ``most`` frequent items with estimated counts.
+
+    The sketches of the tasks are merged in two levels, so no reducer takes one from every task.
+    """
+    most = max(1, min(most, MOST_COUNTERS))
+    counters = min(MOST_COUNTERS, max(FEWEST_COUNTERS, COUNTERS_PER_PARTITION * partitions, most))
+    groups = math.isqrt(partitions) + 1
+    level = df.selectExpr(f"`{column}` AS _item", f"pmod(spark_partition_id(), {groups}) AS _group").groupBy("_group")
+    level = level.agg(F.count("*").alias("_n"), F.expr(f"approx_top_k_accumulate(_item, {counters})").alias("_state"))
+    # grouped by a constant: without a group, a task without rows would hand on a sketch that cannot be merged
+    whole = level.groupBy(F.lit("all")).agg(F.sum("_n").alias("_n"), F.expr(f"approx_top_k_combine(_state, {counters})").alias("_state"))
+    return whole.selectExpr("_n", f"approx_top_k_estimate(_state, {most}) AS _top")
 
 
 def skew_join(

@@ -133,7 +133,7 @@ def invoice_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     paid = F.when(status == "F", amount).when(flag == "R", _amount(amount + 10)).otherwise(_amount(F.lit(0)))
     wrong = (flag == "N") & (status == "O") & (F.col("l_discount") > 0.08)
     lines = (
-        skew_join(table(spark, sf_dir, "lineitem"), owners, ["l_orderkey"])
+        skew_join(table(spark, sf_dir, "lineitem"), owners, ["l_orderkey"], hot=False)
         .withColumns({"_amount": amount, "_paid": paid})
         .withColumns(
             {
