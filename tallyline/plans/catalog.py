@@ -502,14 +502,13 @@ def _sponsors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _matches(spark: SparkSession, sf: str) -> DataFrame:
-    return trials.study_contract_matches(study_feed(spark, sf), contract_feed(spark, sf), stage=staged)
+    return trials.study_contract_matches(staged(study_feed(spark, sf)), staged(contract_feed(spark, sf)), stage=staged)
 
 
 def _crosswalk(spark: SparkSession, sf: str) -> DataFrame:
     """The stored crosswalk, as the steps after it read it."""
-    return staged(
-        trials.study_contract_crosswalk(study_feed(spark, sf), contract_feed(spark, sf), invoice_feed(spark, sf), staged)
-    )
+    studies, contracts, invoices = (staged(feed(spark, sf)) for feed in (study_feed, contract_feed, invoice_feed))
+    return staged(trials.study_contract_crosswalk(studies, contracts, invoices, staged))
 
 
 @query
@@ -774,11 +773,10 @@ def recon_match_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.match_accuracy(_matches(spark, sf), threshold=trials.CONFIDENT)
 
 
-def _report(spark: SparkSession, sf: str) -> DataFrame:
+def _report(spark: SparkSession, sf: str, studies: DataFrame, contracts: DataFrame) -> DataFrame:
     """The report over stored raw and conformed tables, as the load job leaves them."""
-    invoices, contracts = invoice_feed(spark, sf), contract_feed(spark, sf)
-    source, target = staged(invoices), staged(split(conform(invoices, trials.INVOICE))[0])
-    valid_contracts = _valid(spark, sf, "contract")
+    source = staged(invoice_feed(spark, sf))
+    target, valid_contracts = staged(split(conform(source, trials.INVOICE))[0]), split(conform(contracts, trials.CONTRACT))[0]
     return metrics.assemble_report(
         metrics.source_vs_target_record_count(source, target, "record_count"),
         metrics.source_vs_target_total(contracts, "contract_value", valid_contracts, "contract_value_std", "contract_value"),
@@ -786,7 +784,7 @@ def _report(spark: SparkSession, sf: str) -> DataFrame:
         metrics.source_vs_target_total(
             source, "outstanding_amount", target.where(F.col("outstanding_amount_std") > 0), "outstanding_amount_std", "open_ar"
         ),
-        metrics.rejected_record_count(split(conform(study_feed(spark, sf), trials.STUDY))[1]),
+        metrics.rejected_record_count(split(conform(studies, trials.STUDY))[1]),
         metrics.duplicate_count(source, ["invoice_id"]),
         metrics.runtime_metric(spark, datetime(2026, 3, 1), datetime(2026, 3, 1, 0, 5)),
         metrics.change_type_counts(_detected(spark, sf)),
@@ -796,8 +794,9 @@ def _report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def recon_report(spark: SparkSession, sf: str) -> DataFrame:
-    matching = metrics.match_accuracy(_matches(spark, sf), threshold=trials.CONFIDENT)
-    report = _report(spark, sf).drop("report_generated_ts").unionByName(matching)
+    studies, contracts = staged(study_feed(spark, sf)), staged(contract_feed(spark, sf))
+    matching = metrics.match_accuracy(trials.study_contract_matches(studies, contracts, stage=staged), threshold=trials.CONFIDENT)
+    report = _report(spark, sf, studies, contracts).drop("report_generated_ts").unionByName(matching)
     return report.orderBy("metric_group", "metric_name")
 
 
@@ -811,7 +810,8 @@ def report_alerts(spark: SparkSession, sf: str) -> DataFrame:
         ],
         "metric_group string, metric_name string, lowest double, highest double",
     )
-    return metrics.threshold_alerts(_report(spark, sf), limits).select("metric_group", "metric_name", "metric_value")
+    report = _report(spark, sf, study_feed(spark, sf), staged(contract_feed(spark, sf)))
+    return metrics.threshold_alerts(report, limits).select("metric_group", "metric_name", "metric_value")
 
 
 # --- documented extras ------------------------------------------------------------------------
