@@ -4,6 +4,7 @@ from tallyline.sources.files import read_batch_csv, read_json, read_labels, read
 from tallyline.sources.lineage import add_ingestion_metadata, with_record_hash
 from tallyline.sources.sinks import (
     append_raw,
+    drop_staged,
     export_changes,
     overwrite_table,
     shared_dir,
@@ -15,6 +16,7 @@ from tallyline.sources.sinks import (
 __all__ = [
     "add_ingestion_metadata",
     "append_raw",
+    "drop_staged",
     "export_changes",
     "overwrite_table",
     "read_batch_csv",

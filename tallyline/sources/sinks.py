@@ -4,19 +4,36 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the shared folder that the cluster names in ``spark.checkpoint.dir``."""
+def _scratch(spark: SparkSession) -> str:
+    """This application's own folder under the shared folder that ``spark.checkpoint.dir`` names."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        root = tempfile.mkdtemp(prefix="tallyline-")
-    return f"{root.rstrip('/')}/tallyline/{purpose}-{uuid.uuid4().hex}"
+        root = _local_root()
+    return f"{root.rstrip('/')}/tallyline/{spark.sparkContext.applicationId}"
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tallyline-")
+
+
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder under the shared folder that the cluster names in ``spark.checkpoint.dir``."""
+    return f"{_scratch(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove everything this application has staged. Call it once its results have been written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, purpose: str = "staged") -> DataFrame:

@@ -100,3 +100,13 @@ def test_export_leaves_out_unchanged_rows(spark, tmp_path):
 def test_staged_gives_the_same_rows(spark):
     df = spark.range(10).withColumn("x", F.col("id") * 2)
     assert sources.staged(df).exceptAll(df).count() == 0
+
+
+def test_staged_tables_are_dropped_together(spark):
+    first, second = sources.staged(spark.range(5)), sources.staged(spark.range(7))
+    assert (first.count(), second.count()) == (5, 7)
+    folder = first.inputFiles()[0].rsplit("/", 2)[0]
+    assert second.inputFiles()[0].startswith(folder)
+    sources.drop_staged(spark)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
