@@ -72,6 +72,29 @@ def frequent_items(df: DataFrame, column: str, most: int, partitions: int) -> Da
     return whole.selectExpr("_n", f"approx_top_k_estimate(_state, {most}) AS _top")
 
 
+# Parts go to tasks by a hash; so many times as many, smaller ones come out even.
+FINER = 4
+# A row's place within its task after _numbered.
+PLACE = "_place"
+
+
+def _numbered(df: DataFrame, cold: str, names: Sequence[str]) -> DataFrame:
+    """Number the rows to be dealt out within their task, so that equal rows part as well.
+
+    Rows are put in the order of their hashes first. Rows with equal hashes are equal, so whatever order a
+    task reads its rows in, a rerun gives the same numbers to the same rows and nothing is lost or doubled.
+    Rows that are not dealt out (``cold``) come last, and their order does not matter.
+    """
+    row = ", ".join(names)
+    ordered = df.sortWithinPartitions(F.expr(cold), F.expr(f"CASE WHEN {cold} THEN 0L ELSE xxhash64({row}) END"), F.expr(f"CASE WHEN {cold} THEN 0 ELSE hash({row}) END"))
+    return ordered.withColumn(PLACE, F.monotonically_increasing_id())
+
+
+def _dealing(names: Sequence[str]) -> str:
+    """The number that deals a row to its part: its place, offset by its hash."""
+    return f"(shiftright(xxhash64({', '.join(names)}), 2) + {PLACE})"
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -83,10 +106,11 @@ def skew_join(
 ) -> DataFrame:
     """``left.join(right, on, how)`` with hot keys; ``how`` keeps or filters left rows.
 
-    Left rows of a hot key are dealt to its parts by a hash of the row, and the right rows of those
-    few keys are copied to each part. Left rows with a NULL key match nothing and are dealt out
-    freely. The salt depends on the row alone, so a rerun task sends it to the same place. For an
-    inner join with keys that are hot on the right, ``hot_right`` (True or a list) cuts that side too.
+    Left rows of a hot key are dealt to its parts by a hash of the row and its place among the hot rows
+    of its task, so that equal rows part as well, and the right rows of those few keys are copied to each
+    part. Left rows with a NULL key match nothing and are dealt out freely. A rerun task sends the same
+    rows to the same places (see ``_numbered``). For an inner join with keys that are hot on the right,
+    ``hot_right`` (True or a list) cuts that side too.
 
     ``hot`` and ``hot_right`` may be lists from ``hot_keys`` over ``hot_on``, some of the join
     columns, shared by several joins; otherwise the side is read once more to find them.
@@ -113,20 +137,26 @@ def skew_join(
     def cut(listed: DataFrame, salt: str, dealt_names: list[str], dealt_salts: list[str], copied_salts: list[str]) -> None:
         nonlocal left, right
         parts = f"{salt}_parts"
-        listed = F.broadcast(listed.toDF(f"{salt}_hot", parts))
+        listed = F.broadcast(listed.toDF(f"{salt}_hot", parts).withColumn(parts, F.col(parts) * FINER))
         condition = F.expr(f"{key_hash} = {salt}_hot")
         left, right = left.join(listed, condition, "left"), right.join(listed, condition, "left")
-        dealt_salts.append(f"CASE WHEN {parts} IS NULL THEN 0L ELSE pmod(xxhash64({', '.join(dealt_names)}), {parts}) END AS {salt}")
+        dealt_salts.append(f"CASE WHEN {parts} IS NULL THEN 0L ELSE pmod({_dealing(dealt_names)}, {parts}) END AS {salt}")
         copied_salts.append(f"explode(sequence(0L, coalesce({parts}, 1L) - 1L)) AS {salt}")
         salts.append(salt)
 
     if hot is not False:
         cut(hot, "_salt", l_names, l_salts, r_salts)
+        spread_nulls = "" if how in ("inner", "left_semi") else f" AND {present}"
+        left = _numbered(left, f"_salt_parts IS NULL{spread_nulls}", l_names)
     if hot_right is not False:
         cut(hot_right, "_rsalt", r_names, r_salts, l_salts)
+        right = _numbered(right, "_rsalt_parts IS NULL", r_names)
     if how in ("left", "left_anti"):
         # rows without a key never match: any salt will do, and they need not meet
-        free = f"CASE WHEN {present} THEN 0L ELSE pmod(xxhash64({', '.join(l_names)}), 65536L) END AS _spread"
-        l_salts, r_salts, salts = [*l_salts, free], [*r_salts, "0L AS _spread"], [*salts, "_spread"]
+        dealing = f"xxhash64({', '.join(l_names)})" if hot is False else _dealing(l_names)
+        free = f"CASE WHEN {present} THEN 0L ELSE pmod({dealing}, 65536L) END AS _spread"
+        # a plain 0 here would be folded into the condition, and the salt would no longer part the rows
+        zero = f"pmod(xxhash64({names_sql(on)}), 1L) AS _spread"
+        l_salts, r_salts, salts = [*l_salts, free], [*r_salts, zero], [*salts, "_spread"]
     left, right = left.selectExpr(*l_names, *l_salts), right.selectExpr(*r_names, *r_salts)
     return left.join(right, [*on, *salts], how).drop(*salts)

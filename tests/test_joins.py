@@ -62,6 +62,31 @@ def test_skew_join_spreads_the_hot_key(spark, skewed):
     assert plain == 1 and parts > 1
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("columns", ["k", "k, id % 3 AS c", "k, id"])
+@pytest.mark.parametrize("value", ["'hot'", "CAST(NULL AS STRING)"])
+def test_equal_rows_of_a_hot_or_missing_key_are_spread(spark, how, columns, value):
+    if value != "'hot'" and how in ("inner", "left_semi"):
+        pytest.skip("rows without a key are dropped before the join")
+    parts, rows = 16, 20_000
+    key = f"CASE WHEN id % 10 = 0 THEN concat('k', id % 500) ELSE {value} END AS k"
+    left = spark.range(0, rows, 1, 8).selectExpr(key, "id").selectExpr(*columns.split(", "))
+    right = spark.createDataFrame([("none",), ("other",)] + ([("hot",)] if how != "left_anti" else []), "k string")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(parts)}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, v in settings.items():
+            spark.conf.set(name, v)
+        joined = skew_join(left, right, ["k"], how)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        whole = left.join(right, "k", how).count()
+    finally:
+        for name, v in before.items():
+            spark.conf.set(name, v)
+    assert sum(sizes) == whole
+    assert max(sizes) <= 2.5 * rows / parts  # parts meet in tasks by chance
+
+
 @pytest.fixture(scope="module")
 def feeds(spark):
     rng = random.Random(3)
