@@ -29,6 +29,8 @@ from tallyline.llm.common import DEALT, dealt, parts, slices, unpacked
 
 #: Bytes of text whose windows are keyed at once; memory follows this, or the longest text.
 TEXT_AT_ONCE = 1 << 21
+#: Bytes of window contents that a part gathers before it hands them on.
+GATHERED = 1 << 26
 ROW = "_row"
 
 
@@ -153,8 +155,18 @@ def _second_pass(docs: DataFrame, told: DataFrame, form: Form, n: int) -> DataFr
         row, number = _sorted_by_row(answers, ["row", "run"])
         if not len(row):
             return
+        out: list[tuple] = []
+
+        def gathered() -> pa.RecordBatch:
+            key, ids, own, start, count = (np.concatenate(x) for x in list(zip(*out, strict=True))[:5])
+            rows = pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(own), pa.array(start.astype(np.uint32)), pa.array(count.astype(np.uint32)), pa.concat_arrays([x[5] for x in out])],
+                names=["doc_id", "row", "start", "count", "content"],
+            )
+            out.clear()
+            return dealt(rows, _bucket(key, n), 0)
+
         for payload in payloads:
-            out = []
             for batch in unpacked(payload).to_batches():
                 for part in slices(batch, "text", TEXT_AT_ONCE):
                     ids, own = _numbers(part, "doc_id"), _numbers(part, ROW)
@@ -166,13 +178,10 @@ def _second_pass(docs: DataFrame, told: DataFrame, form: Form, n: int) -> DataFr
                     chosen = np.unique(first[doc] + number[at])
                     mine = runs.doc[chosen]
                     out.append((runs.key[chosen], ids[mine], own[mine], runs.start[chosen], runs.count[chosen], content(chosen)))
-            if out:
-                key, ids, own, start, count = (np.concatenate(x) for x in list(zip(*out, strict=True))[:5])
-                rows = pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array(own), pa.array(start.astype(np.uint32)), pa.array(count.astype(np.uint32)), pa.concat_arrays([x[5] for x in out])],
-                    names=["doc_id", "row", "start", "count", "content"],
-                )
-                yield dealt(rows, _bucket(key, n), 0)
+                    if sum(x[5].nbytes for x in out) > GATHERED:
+                        yield gathered()
+        if out:
+            yield gathered()
 
     def resolve(cell: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [unpacked(x) for batch in cell for x in batch.column(2).to_pylist()]
