@@ -37,10 +37,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def packed(batch: pa.RecordBatch | pa.Table) -> bytes:
+def packed(batch: pa.RecordBatch, level: int = 1) -> bytes:
     """Rows as one compressed Arrow stream, which shuffles as a single value."""
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=level))
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
         out.write(batch)
     return sink.getvalue().to_pybytes()
 
@@ -49,13 +50,13 @@ def unpacked(payload: bytes) -> pa.Table:
     return pa.ipc.open_stream(payload).read_all()
 
 
-def dealt(batch: pa.RecordBatch, bucket: np.ndarray, kind: int) -> pa.RecordBatch:
+def dealt(batch: pa.RecordBatch, bucket: np.ndarray, kind: int, level: int = 1) -> pa.RecordBatch:
     """Rows packed by bucket: ``bucket, kind, payload``."""
     order = np.argsort(bucket, kind="stable")
     found, first = np.unique(bucket[order], return_index=True)
     ends = np.append(first[1:], len(order))
     rows = batch.take(pa.array(order))
-    payloads = [packed(rows.slice(a, b - a)) for a, b in zip(first, ends, strict=True)]
+    payloads = [packed(rows.slice(a, b - a), level) for a, b in zip(first, ends, strict=True)]
     return pa.RecordBatch.from_arrays(
         [pa.array(found.astype(np.int64)), pa.array([kind] * len(found), pa.int32()), pa.array(payloads, pa.binary())],
         names=["bucket", "kind", "payload"],

@@ -31,6 +31,8 @@ from tallyline.llm.common import DEALT, dealt, parts, slices, unpacked
 TEXT_AT_ONCE = 1 << 21
 #: Bytes of window contents that a part gathers before it hands them on.
 GATHERED = 1 << 26
+#: Compression of texts and contents, which are the larger part of what is shuffled.
+TEXT_LEVEL = 5
 ROW = "_row"
 
 
@@ -114,7 +116,7 @@ def _packed_rows(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield dealt(batch, _part(_numbers(batch, ROW), n), 0)
+                yield dealt(batch, _part(_numbers(batch, ROW), n), 0, TEXT_LEVEL)
 
     return docs.mapInArrow(run, DEALT)
 
@@ -164,7 +166,7 @@ def _second_pass(docs: DataFrame, told: DataFrame, form: Form, n: int) -> DataFr
                 names=["doc_id", "row", "start", "count", "content"],
             )
             out.clear()
-            return dealt(rows, _bucket(key, n), 0)
+            return dealt(rows, _bucket(key, n), 0, TEXT_LEVEL)
 
         for payload in payloads:
             for batch in unpacked(payload).to_batches():
