@@ -24,6 +24,14 @@ QUICK = [
 ]
 
 
+@pytest.fixture(autouse=True)
+def compiled_stages(spark):
+    """Plans and results as in production, with whole stages compiled."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
