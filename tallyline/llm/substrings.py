@@ -15,8 +15,9 @@ from tallyline.llm.common import mix64, split_words, table
 from tallyline.llm.repeats import Runs, cut_repeats
 
 WINDOW = 13
-#: Rounds of naming. Symbols of later rounds are longer, and a window takes the highest it holds.
-ROUNDS = 3
+#: Rounds of naming; a window takes the highest symbols it holds. 13 words without repeats always hold a
+#: whole symbol of the second round, while those of later rounds are often cut by the window's edge.
+ROUNDS = 2
 BASE = np.uint64(0x9E3779B97F4A7C15)
 U = np.uint64
 
@@ -90,11 +91,19 @@ class Recompression:
         level = list(enumerate(self.levels(x, doc))) if n else []
         none = U(0xFFFFFFFFFFFFFFFF)
 
+        up, down = _powers(n)
+        sums = np.concatenate([[U(0)], np.cumsum(x * up[:-1])])
+
         def choose(name: np.ndarray, a: np.ndarray, z: np.ndarray, tag: int) -> None:
-            """Windows without a key take the least name of those with a > start and z < start + w."""
+            """Windows without a key take the least name of those with a > start and z < start + w.
+
+            Names are mixed with the words from a to z, the neighbours that make the symbol certain, so
+            that texts which share no more than a short symbol part.
+            """
             low, high = z - w + 1, np.minimum(a - 1, n - 1)
             use = low <= high
-            name, low, high = mix64(name[use] + U(tag)), low[use], high[use]
+            around = mix64((sums[z[use]] - sums[a[use]]) * down[a[use]])
+            name, low, high = mix64((name[use] ^ around) + U(tag)), low[use], high[use]
             best = np.full(n, none, U)
             for step in range(w - 1):
                 on = (low + step <= high) & (low + step >= 0)
