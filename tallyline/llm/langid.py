@@ -21,8 +21,8 @@ ORDER = 4
 SAMPLE_DOCS = 3000
 #: Every tenth of them is left out of the counts and calibrates score and rejection.
 CALIBRATION = 10
-#: Texts scored together, in characters.
-CHARS_AT_ONCE = 4_000_000
+#: Texts scored together, in characters; a worker's memory is about 100 bytes for each.
+CHARS_AT_ONCE = 1_000_000
 UNKNOWN = "und"
 #: Short texts vary more: the rejection limit is wider by this over the root of the number of symbols.
 SHORT_SLACK = 8.0
