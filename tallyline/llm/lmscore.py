@@ -20,7 +20,7 @@ START = 0xFFFF
 DISCOUNT = 0.75
 #: The most frequent bigrams, whose scores every task gets; only the others are looked up by a shuffle.
 #: No bigram of the shuffle is therefore frequent, so none makes a hot key.
-FREQUENT = 1_000_000
+FREQUENT = 250_000
 ROWS_AT_ONCE = 2000
 #: Bigrams or words a task gathers before it hands on their counts.
 GATHERED = 4_000_000
@@ -233,6 +233,13 @@ def _frequent(counts: DataFrame, most: int) -> tuple[int, pa.Table]:
     return least, counts.select("payload").mapInArrow(pick, "pair long, back long, target long").toArrow()
 
 
+def _row_sums(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of both losses by row, rows in order."""
+    row, target, back = (np.concatenate(x) for x in zip(*found, strict=True))
+    rows, at = np.unique(row, return_inverse=True)
+    return rows, np.bincount(at, target), np.bincount(at, back)
+
+
 def score(docs: DataFrame, is_target: DataFrame, vocabulary_size: int = VOCABULARY, frequent: int = FREQUENT) -> DataFrame:
     """Cross-entropy difference of every document: ``doc_id, n_tokens, target_loss, background_loss, score``.
 
@@ -285,13 +292,20 @@ def score(docs: DataFrame, is_target: DataFrame, vocabulary_size: int = VOCABULA
                 at = np.searchsorted(pair, np.asarray(t.column("pair")))
                 found.append((np.asarray(t.column("row")), logs[0][at], logs[1][at]))
         if found:
-            row, target, back = (np.concatenate(x) for x in zip(*found, strict=True))
-            rows, at = np.unique(row, return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.bincount(at, target)), pa.array(np.bincount(at, back))], names=["row", "target", "back"])
+            row, target, back = _row_sums(found)
+            yield _dealt({"row": row, "target": target, "back": back}, row % n, 0)
+
+    def add(cell: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for batch in cell:
+            for payload in batch.column(2).to_pylist():
+                t = unpacked(payload)
+                found.append(tuple(np.asarray(t.column(c)) for c in ("row", "target", "back")))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _row_sums(found)], names=["row", "target", "back"])
 
     asked = rows.select("row", "ids").mapInArrow(look, DEALT).union(counts.select("bucket", "kind", "payload"))
-    sums = asked.groupBy("bucket").applyInArrow(resolve, "row long, target double, back double")
-    sums = sums.groupBy("row").agg(F.sum("target").alias("target"), F.sum("back").alias("back"))
+    sums = asked.groupBy("bucket").applyInArrow(resolve, DEALT)
+    sums = sums.groupBy("bucket").applyInArrow(add, "row long, target double, back double")
     out = rows.select("row", "doc_id", "n").join(sums, "row", "left")
     tokens_of = F.when(F.col("n") > 0, F.col("n"))
     return out.select(
