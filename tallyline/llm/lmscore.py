@@ -20,7 +20,7 @@ START = 0xFFFF
 DISCOUNT = 0.75
 #: The most frequent bigrams, whose scores every task gets; only the others are looked up by a shuffle.
 #: No bigram of the shuffle is therefore frequent, so none makes a hot key.
-FREQUENT = 250_000
+FREQUENT = 1_000_000
 ROWS_AT_ONCE = 2000
 #: Bigrams or words a task gathers before it hands on their counts.
 GATHERED = 4_000_000
@@ -113,7 +113,7 @@ def _bucket(pairs: np.ndarray, n: int) -> np.ndarray:
 
 
 def _dealt(columns: dict[str, np.ndarray], bucket: np.ndarray, kind: int) -> pa.RecordBatch:
-    return dealt(pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], names=list(columns)), bucket, kind)
+    return dealt(pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], names=list(columns)), bucket, kind, 3)
 
 
 def bigram_counts(rows: DataFrame) -> DataFrame:
