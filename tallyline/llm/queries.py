@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyline.llm import langid, lmscore, mixing, neardup, packing, quality, substrings, suffixes, topk, vectordup
+from tallyline.llm import langid, lmscore, mixing, neardup, packing, quality, substrings, suffixes, tokencounts, topk, vectordup
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_language_id": langid.op8_language_id,
     "op9_embedding_dedup": vectordup.op9_embedding_dedup,
     "op10_lm_scoring": lmscore.op10_lm_scoring,
+    "op12_token_counts": tokencounts.op12_token_counts,
 }
 
 SQL = {
