@@ -33,6 +33,7 @@ from tallyline.operators.skew import skew_join
 from tallyline.plans import trials
 from tallyline.plans.feeds import contract_feed, invoice_feed, sponsor_feed, study_feed, table
 from tallyline.sources import (
+    KeyedTable,
     add_ingestion_metadata,
     append_raw,
     export_changes,
@@ -624,6 +625,31 @@ def upsert_orders(spark: SparkSession, sf: str) -> DataFrame:
     return cdc.upsert(_hashed_snapshot(spark, sf, 1), _hashed_snapshot(spark, sf, 2), ["o_orderkey"])
 
 
+def _keyed_orders(spark: SparkSession, sf: str) -> KeyedTable:
+    return KeyedTable(spark, shared_dir(spark, "orders"), ["o_orderkey"])
+
+
+@query
+def keyed_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Three versions of a table in key-hash parts, each made from the changes since the one before."""
+    orders = _keyed_orders(spark, sf)
+    orders.create(_hashed_snapshot(spark, sf, 1), "1")
+    for n in (2, 3):
+        changes = staged(orders.compare(_hashed_snapshot(spark, sf, n), str(n - 1), detected_at=LOADED))
+        orders.apply(str(n - 1), str(n), changes)
+    first, second, third = (orders.read(v).withColumn("version", F.lit(v)) for v in ("1", "2", "3"))
+    return first.unionByName(second).unionByName(third)
+
+
+@query
+def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """The second snapshot merged into the first in key-hash parts: nothing is deleted."""
+    orders = _keyed_orders(spark, sf)
+    orders.create(_hashed_snapshot(spark, sf, 1), "1")
+    orders.upsert("1", "2", _hashed_snapshot(spark, sf, 2), staged)
+    return orders.read("2")
+
+
 @query
 def scd2_history(spark: SparkSession, sf: str) -> DataFrame:
     rows = history.open_history(_hashed_snapshot(spark, sf, 1), FIRST)

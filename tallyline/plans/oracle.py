@@ -652,6 +652,12 @@ SQL["apply_changes"] = query("SELECT * FROM snap2", "snap2")
 SQL["upsert_orders"] = query(
     "SELECT * FROM snap2 UNION ALL SELECT * FROM snap1 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM snap2)", "snap1", "snap2"
 )
+SQL["keyed_versions"] = query(
+    "SELECT *, '1' AS version FROM snap1 UNION ALL SELECT *, '2' FROM snap2 UNION ALL SELECT *, '3' FROM snap3", "snap1", "snap2", "snap3"
+)
+SQL["keyed_upsert"] = query(
+    "SELECT * FROM snap2 UNION ALL SELECT * FROM snap1 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM snap2)", "snap1", "snap2"
+)
 SQL["scd2_history"] = SQL["scd2_rebuild"] = query(_SCD2, "islands")
 SQL["change_counts"] = query(
     " UNION ALL ".join(

@@ -1,6 +1,7 @@
 """Readers, lineage columns and writers."""
 
 from tallyline.sources.files import read_batch_csv, read_json, read_labels, read_table, string_schema
+from tallyline.sources.keyed import KeyedTable
 from tallyline.sources.lineage import add_ingestion_metadata, with_record_hash
 from tallyline.sources.sinks import (
     append_raw,
@@ -14,6 +15,7 @@ from tallyline.sources.sinks import (
 )
 
 __all__ = [
+    "KeyedTable",
     "add_ingestion_metadata",
     "append_raw",
     "drop_staged",
