@@ -46,7 +46,18 @@ from tallyline.sources import (
     write_conformed,
     write_version,
 )
-from tallyline.streaming import compact, ingest_stream, read_current, read_stream_csv, read_stream_parquet, upsert_stream
+from tallyline.streaming import (
+    ChangeFeed,
+    classify_stream,
+    compact,
+    fold_changes,
+    ingest_stream,
+    read_changes,
+    read_current,
+    read_stream_csv,
+    read_stream_parquet,
+    upsert_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -289,6 +300,37 @@ def stream_upsert_batches(spark: SparkSession, sf: str) -> DataFrame:
     return now.select("user_id", "event_id", "event_type", "ts")
 
 
+def _classified_events(spark: SparkSession, sf: str) -> tuple[str, ChangeFeed]:
+    """Three loads of events, dealt by their id so that many are late, one after another through one stream.
+
+    An ``error`` deletes its user; the last load also repeats the first one.
+    """
+    root = shared_dir(spark, "stream")
+    events = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", F.round("value", 0).alias("value"))
+    feed = ChangeFeed(["user_id"], ["ts", "event_id"], "event_type = 'error'", ["event_type", "value"])
+    for load in range(3):
+        arrived = events.where((F.col("event_id") % 3 == load) | ((F.col("event_id") % 3 == 0) if load == 2 else F.lit(False)))
+        arrived.write.mode("append").parquet(f"{root}/landing")
+        stream = read_stream_parquet(spark, f"{root}/landing", events.schema, "*.parquet")
+        classify_stream(stream, root, f"{root}/checkpoint", feed).awaitTermination()
+    return root, feed
+
+
+@query
+def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The change set of every load, compared by key and hash with what came before."""
+    found = read_changes(spark, _classified_events(spark, sf)[0])
+    return found.select("batch_id", "user_id", "change_type", "event_type", "value", "record_hash", "delta_business_key")
+
+
+@query
+def stream_changes_folded(spark: SparkSession, sf: str) -> DataFrame:
+    """The table that the change sets make, kept in key-hash parts."""
+    root, feed = _classified_events(spark, sf)
+    users = KeyedTable(spark, f"{root}/users", feed.keys)
+    return users.read(fold_changes(spark, root, users)).select("user_id", "event_type", "value", "record_hash")
+
+
 @query
 def written_versions(spark: SparkSession, sf: str) -> DataFrame:
     """A table, the next version made from it, both written and read back."""

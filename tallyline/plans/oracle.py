@@ -510,6 +510,28 @@ SQL["stream_csv_ingest"] = f"""SELECT *, 'events' AS source_system, 'load-1' AS
 SQL["stream_upsert_batches"] = f"""SELECT user_id, event_id, event_type, ts FROM (SELECT {_EVENT} FROM events
   QUALIFY row_number() OVER (PARTITION BY events.user_id ORDER BY events.ts DESC, events.event_id DESC) = 1)
 WHERE event_type <> 'error'"""
+cte(
+    "user_states",
+    f"""SELECT n, user_id, event_type, value, {hashed(("event_type", "value"))} AS record_hash, event_type = 'error' AS gone FROM (
+  SELECT n, user_id, event_type, round(value, 0) AS value FROM events, range(3) loads(n) WHERE event_id % 3 <= n
+  QUALIFY row_number() OVER (PARTITION BY n, user_id ORDER BY ts DESC, event_id DESC) = 1)""",
+)
+cte(
+    "user_changes",
+    """SELECT now.n, now.user_id, now.event_type, now.value, now.record_hash, old.record_hash AS old_hash,
+  CASE WHEN now.gone THEN CASE WHEN old.gone = false THEN 'delete' END WHEN old.gone IS NULL OR old.gone THEN 'insert'
+       WHEN now.record_hash <> old.record_hash THEN 'update' END AS change_type
+FROM user_states now LEFT JOIN user_states old ON old.user_id = now.user_id AND old.n = now.n - 1""",
+    "user_states",
+)
+SQL["stream_changes"] = query(
+    """SELECT CAST(n AS INTEGER) AS batch_id, user_id, change_type, CASE WHEN change_type <> 'delete' THEN event_type END AS event_type,
+  CASE WHEN change_type <> 'delete' THEN value END AS value, CASE WHEN change_type = 'delete' THEN old_hash ELSE record_hash END AS record_hash,
+  CAST(user_id AS VARCHAR) AS delta_business_key
+FROM user_changes WHERE change_type IS NOT NULL""",
+    "user_changes",
+)
+SQL["stream_changes_folded"] = query("SELECT user_id, event_type, value, record_hash FROM user_states WHERE n = 2 AND NOT gone", "user_states")
 SQL["written_versions"] = """SELECT CAST(1 AS INTEGER) AS version, o_orderkey, o_custkey, o_orderstatus FROM orders
 UNION ALL SELECT 2, o_orderkey, o_custkey, lower(o_orderstatus) FROM orders WHERE o_orderstatus <> 'F'"""
 SQL["whole_row_distinct"] = "SELECT DISTINCT * FROM lineitem"

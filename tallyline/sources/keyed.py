@@ -8,6 +8,7 @@ version again replaces it. Older versions stay readable. Parts are plain partiti
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime
 from functools import cached_property
@@ -20,6 +21,7 @@ from tallyline.operators import changes as cdc
 
 PART = "key_part"
 LIST = "key_part int, holder string"
+SCHEMA_ROW = -1
 WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
 
 
@@ -71,10 +73,14 @@ class KeyedTable:
         spread: Column = F.when(whole, F.xxhash64(*widened)).otherwise(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
         return df.withColumn(PART, F.pmod(spread, F.lit(self.parts)).cast("int"))
 
+    def _listed(self, version: str) -> tuple[T.StructType, dict[int, str]]:
+        """The schema of a version, which its list holds in a row of its own, and the holders of its parts."""
+        rows = {r[PART]: r["holder"] for r in self.spark.read.schema(LIST).parquet(self._list_folder(version)).collect()}
+        return T.StructType.fromJson(json.loads(rows.pop(SCHEMA_ROW))), rows
+
     def holders(self, version: str) -> dict[int, str]:
         """Which version holds each part that has rows."""
-        rows = self.spark.read.schema(LIST).parquet(self._list_folder(version)).collect()
-        return {r[PART]: r["holder"] for r in rows}
+        return self._listed(version)[1]
 
     def versions(self) -> list[str]:
         return [x.partition("=")[2] for x in child_folders(self.spark, f"{self.root}/_lists")]
@@ -83,13 +89,9 @@ class KeyedTable:
         folder = self._folder(version)
         dealt.repartition(max(1, tasks), PART).write.mode("overwrite").partitionBy(PART).parquet(folder)
         written = {int(x.partition("=")[2]): version for x in child_folders(self.spark, folder)}
-        holders = sorted(({p: v for p, v in others.items() if p not in written} | written).items())
-        listed = self.spark.createDataFrame(holders, LIST).coalesce(1)
-        listed.write.mode("overwrite").parquet(self._list_folder(version))
-        self._schema(dealt.drop(PART).schema, version)
-
-    def _schema(self, schema: T.StructType, version: str) -> None:
-        self.spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/_schemas/version={version}")
+        holders = {p: v for p, v in others.items() if p not in written} | written
+        rows = [(SCHEMA_ROW, dealt.drop(PART).schema.json()), *sorted(holders.items())]
+        self.spark.createDataFrame(rows, LIST).coalesce(1).write.mode("overwrite").parquet(self._list_folder(version))
 
     def create(self, df: DataFrame, version: str) -> None:
         """The first version: every part is written."""
@@ -99,8 +101,7 @@ class KeyedTable:
 
     def read(self, version: str, parts: Iterable[int] | None = None) -> DataFrame:
         """A version, or some of its parts. Only the folders of these parts are listed and read."""
-        schema = self.spark.read.parquet(f"{self.root}/_schemas/version={version}").schema
-        wanted = self.holders(version)
+        schema, wanted = self._listed(version)
         if parts is not None:
             keep = set(parts)
             wanted = {p: v for p, v in wanted.items() if p in keep}
@@ -153,7 +154,6 @@ class KeyedTable:
         for version in self.versions():
             if version not in kept:
                 delete_folder(self.spark, self._list_folder(version))
-                delete_folder(self.spark, f"{self.root}/_schemas/version={version}")
         for name in child_folders(self.spark, self.root):
             holder = name.partition("=")[2]
             if not name.startswith("version="):

@@ -1,6 +1,18 @@
-"""File streams into the raw layer and into a keyed table."""
+"""File streams into the raw layer, into a keyed table and into change sets."""
 
+from tallyline.streaming.classify import ChangeFeed, classify_stream, fold_changes, read_changes
 from tallyline.streaming.ingest import ingest_stream, read_stream_csv, read_stream_parquet
 from tallyline.streaming.upsert import compact, read_current, upsert_stream
 
-__all__ = ["compact", "ingest_stream", "read_current", "read_stream_csv", "read_stream_parquet", "upsert_stream"]
+__all__ = [
+    "ChangeFeed",
+    "classify_stream",
+    "compact",
+    "fold_changes",
+    "ingest_stream",
+    "read_changes",
+    "read_current",
+    "read_stream_csv",
+    "read_stream_parquet",
+    "upsert_stream",
+]
