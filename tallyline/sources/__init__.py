@@ -1,6 +1,16 @@
 """Readers, lineage columns and writers."""
 
-from tallyline.sources.files import read_batch_csv, read_json, read_labels, read_table, string_schema
+from tallyline.sources.files import (
+    malformed,
+    read_batch_csv,
+    read_checked_csv,
+    read_checked_json,
+    read_json,
+    read_labels,
+    read_table,
+    string_schema,
+    well_formed,
+)
 from tallyline.sources.keyed import KeyedTable
 from tallyline.sources.lineage import add_ingestion_metadata, with_record_hash
 from tallyline.sources.sinks import (
@@ -20,14 +30,18 @@ __all__ = [
     "append_raw",
     "drop_staged",
     "export_changes",
+    "malformed",
     "overwrite_table",
     "read_batch_csv",
+    "read_checked_csv",
+    "read_checked_json",
     "read_json",
     "read_labels",
     "read_table",
     "shared_dir",
     "staged",
     "string_schema",
+    "well_formed",
     "with_record_hash",
     "write_conformed",
     "write_version",
