@@ -71,6 +71,15 @@ def rejected_record_count(rejected: DataFrame, group: str = "quality") -> DataFr
     return metric_rows(rejected.agg(F.count("*").alias("n")), {"rejected_record_count": F.col("n")}, group)
 
 
+def malformed_line_count(broken: Sequence[DataFrame], group: str = "quality") -> DataFrame:
+    """Lines of all feeds that could not be parsed."""
+    lines = None
+    for df in broken:
+        one = df.select(F.lit(1).alias("line"))
+        lines = one if lines is None else lines.unionByName(one)
+    return metric_rows(lines.agg(F.count("*").alias("n")), {"malformed_line_count": F.col("n")}, group)
+
+
 def duplicate_count(df: DataFrame, keys: Sequence[str], group: str = "quality") -> DataFrame:
     """Rows beyond the first of their key; NULL keys count as one key."""
     surplus = df.groupBy(*keys).agg((F.count("*") - 1).alias("extra")).agg(F.sum("extra").alias("n"))

@@ -31,13 +31,21 @@ from tallyline.operators.joins import any_key_join, link_on_keys, prefixed, prio
 from tallyline.operators.match import score_pairs, similar_values
 from tallyline.operators.skew import skew_join
 from tallyline.plans import trials
+from tallyline.plans.lifecycle import FEEDS as LIFECYCLE_FEEDS
+from tallyline.plans.lifecycle import Batch, Job
 from tallyline.plans.feeds import contract_feed, invoice_feed, sponsor_feed, study_feed, table
 from tallyline.sources import (
     KeyedTable,
     add_ingestion_metadata,
     append_raw,
+    completeness_limits,
+    completeness_measures,
     export_changes,
+    gated_write,
+    published,
     read_batch_csv,
+    read_checked_csv,
+    read_checked_json,
     read_json,
     read_labels,
     read_table,
@@ -48,12 +56,15 @@ from tallyline.sources import (
 )
 from tallyline.streaming import (
     ChangeFeed,
+    DriftingFeed,
     classify_stream,
     compact,
     fold_changes,
+    ingest_drifting,
     ingest_stream,
     read_changes,
     read_current,
+    read_drifted,
     read_stream_csv,
     read_stream_parquet,
     upsert_stream,
@@ -232,6 +243,65 @@ def ingest_json_batches(spark: SparkSession, sf: str) -> DataFrame:
     return add_ingestion_metadata(raw, "crm", "load-1", LOADED).drop("source_file_name", "ingestion_timestamp")
 
 
+def _spoilt_customers(spark: SparkSession, sf: str, good: Column, spoil: dict[int, Column]) -> DataFrame:
+    """A line of text for every customer, spoilt in one way or another by its key."""
+    line = good
+    for rest, spoilt in spoil.items():
+        line = F.when(F.col("c_custkey") % 11 == rest, spoilt).otherwise(line)
+    return table(spark, sf, "customer").select(line.alias("line"))
+
+
+@query
+def malformed_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line of a file with broken lines: records, and lines with the reason why they are none."""
+    path = shared_dir(spark, "landing")
+    key, name, segment = F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_mktsegment")
+    spoil = {
+        1: F.concat(key, F.lit(","), name),
+        2: F.concat(key, F.lit(","), name, F.lit(","), segment, F.lit(",x")),
+        3: F.concat(key, F.lit(","), name, F.lit(',"'), segment),
+        4: F.concat(key, F.lit(',"'), name, F.lit('" x,'), segment),
+    }
+    good = F.concat(key, F.lit(',"'), name, F.lit(', Ltd",'), segment)
+    lines = _spoilt_customers(spark, sf, good, spoil).withColumnRenamed("line", ",".join(_LANDED))
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "").csv(path)
+    return read_checked_csv(spark, path, _LANDED)
+
+
+@query
+def malformed_json(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_dir(spark, "landing")
+    whole = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in _LANDED]))
+    spoil = {1: F.expr("left(to_json(struct(c_custkey, c_name)), 20)"), 2: F.concat(F.lit("["), whole, F.lit("]")), 3: F.col("c_name")}
+    _spoilt_customers(spark, sf, whole, spoil).write.text(path)
+    return read_checked_json(spark, path, _LANDED)
+
+
+def _drifting_customers(spark: SparkSession, sf: str, feed: DriftingFeed) -> str:
+    """Three landings of customers, one after another: the third lacks a column and brings a new one."""
+    root = shared_dir(spark, "stream")
+    customer = table(spark, sf, "customer")
+    headers = (("c_custkey", "c_name", "c_mktsegment"), ("c_name", "c_mktsegment", "c_custkey"), ("c_custkey", "c_nationkey", "c_name"))
+    for n, columns in enumerate(headers):
+        customer.where(F.col("c_custkey") % 3 == n).select(*columns).write.option("header", True).csv(f"{root}/landing/{n}")
+        ingest_drifting(spark, f"{root}/landing/*", f"{root}/table", f"{root}/checkpoint", feed).awaitTermination()
+    return f"{root}/table"
+
+
+@query
+def stream_schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    root = _drifting_customers(spark, sf, DriftingFeed("crm", "load-1", ingested_at=LOADED))
+    return read_drifted(spark, root).select("c_custkey", "c_name", "c_mktsegment", "c_nationkey", "schema_version", "source_system", "load_id", "record_hash")
+
+
+@query
+def stream_schema_rescued(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with fixed columns: what has no column is kept in a map."""
+    root = _drifting_customers(spark, sf, DriftingFeed("crm", "load-1", _LANDED, evolve=False, ingested_at=LOADED))
+    rescued = F.concat_ws(";", F.transform(F.map_entries("rescued"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return read_drifted(spark, root).select(*_LANDED, "schema_version", rescued.alias("rescued"))
+
+
 @query
 def raw_append(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "raw")
@@ -355,6 +425,25 @@ def completeness_gate(spark: SparkSession, sf: str) -> DataFrame:
     return gate.withColumn("completeness", F.round("completeness", 6))
 
 
+GATED = ("study_id", "protocol_no", "sponsor_external_id")
+
+
+@query
+def gated_publication(spark: SparkSession, sf: str) -> DataFrame:
+    """Three versions of the studies behind a gate: those without a gap, all of them, and the former again without the oldest."""
+    root, feed = shared_dir(spark, "studies"), study_feed(spark, sf)
+    filled = feed.where(~is_blank("protocol_no") & ~is_blank("sponsor_external_id"))
+    audits = None
+    for version, rows in (("1", filled), ("2", feed), ("3", filled.where("batch_date > '2026-01-01'"))):
+        audit = gated_write(rows, root, version, "study", completeness_measures(GATED), completeness_limits("study", GATED), datetime(2026, 3, int(version)))
+        audit = audit.select(
+            F.lit(version).alias("version"), "metric_name", F.round("metric_value", 6).alias("metric_value"), "passed",
+            F.lit(published(spark, root)).alias("published_then"),
+        )
+        audits = audit if audits is None else audits.unionByName(audit)
+    return audits
+
+
 def _order_refs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     child = table(spark, sf, "orders").select(
         "o_orderkey", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey")).alias("custkey")
@@ -882,6 +971,32 @@ def report_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.threshold_alerts(report, limits).select("metric_group", "metric_name", "metric_value")
 
 
+# --- the load job -----------------------------------------------------------------------------
+
+
+def _loaded_job(spark: SparkSession, sf: str) -> Job:
+    """Two batches through the whole load job: the feeds up to the middle of January, and what came later."""
+    root = shared_dir(spark, "lake")
+    feeds = {"studies": study_feed, "contracts": contract_feed, "invoices": invoice_feed, "sponsors": sponsor_feed}
+    job = Job(spark, f"{root}/lake")
+    batches = (Batch("b1", datetime(2026, 1, 20)), Batch("b2", datetime(2026, 3, 1), previous="b1"))
+    for batch, there in zip(batches, ("batch_date <= '2026-01-14'", "batch_date > '2026-01-14'"), strict=True):
+        landing = {}
+        for name, feed in feeds.items():
+            path = f"{root}/landing/{batch.batch_id}/{name}"
+            writer = feed(spark, sf).where(there).select(*LIFECYCLE_FEEDS[name][0], "batch_date").write.partitionBy("batch_date").option("header", True)
+            writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+            landing[name] = f"{path}/batch_date=*/*.csv"
+        job.run(batch, landing)
+    return job
+
+
+@query
+def load_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The invoice headers that two batches of the load job leave, changed part by part."""
+    return _loaded_job(spark, sf).current("target", "invoice", "b2").drop("invoice_external_id_row_hash")
+
+
 # --- documented extras ------------------------------------------------------------------------
 
 

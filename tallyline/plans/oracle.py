@@ -496,6 +496,25 @@ _LANDED = f"""SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegme
   CASE WHEN c_acctbal < 0 THEN '2026-01-15' ELSE '2026-01-01' END AS batch_date, 'crm' AS source_system, 'load-1' AS load_id,
   {hashed(('c_custkey', 'c_name', 'c_mktsegment'))} AS record_hash FROM customer"""
 SQL["ingest_csv_batches"] = SQL["ingest_json_batches"] = _LANDED
+_SPOILT = """SELECT c_custkey % 11 AS r, CAST(c_custkey AS VARCHAR) AS k, c_name AS n, c_mktsegment AS s FROM customer"""
+SQL["malformed_csv"] = f"""SELECT CASE WHEN e IS NULL THEN k END AS c_custkey, CASE WHEN e IS NULL THEN n || ', Ltd' END AS c_name,
+  CASE WHEN e IS NULL THEN s END AS c_mktsegment, e AS parse_error,
+  CASE r WHEN 1 THEN k || ',' || n WHEN 2 THEN k || ',' || n || ',' || s || ',x' WHEN 3 THEN k || ',' || n || ',"' || s
+    WHEN 4 THEN k || ',"' || n || '" x,' || s END AS raw_line
+FROM (SELECT *, CASE r WHEN 1 THEN 'too_few_fields' WHEN 2 THEN 'too_many_fields' WHEN 3 THEN 'bad_quote' WHEN 4 THEN 'bad_quote' END AS e FROM ({_SPOILT}))"""
+SQL["malformed_json"] = f"""SELECT CASE WHEN e IS NULL THEN k END AS c_custkey, CASE WHEN e IS NULL THEN n END AS c_name,
+  CASE WHEN e IS NULL THEN s END AS c_mktsegment, e AS parse_error,
+  CASE r WHEN 1 THEN left('{{"c_custkey":' || k || ',"c_name":"' || n || '"}}', 20)
+    WHEN 2 THEN '[{{"c_custkey":"' || k || '","c_name":"' || n || '","c_mktsegment":"' || s || '"}}]' WHEN 3 THEN n END AS raw_line
+FROM (SELECT *, CASE WHEN r IN (1, 2, 3) THEN 'not_a_json_object' END AS e FROM ({_SPOILT}))"""
+_DRIFTED = """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CASE WHEN c_custkey % 3 < 2 THEN c_mktsegment END AS c_mktsegment,
+  CASE WHEN c_custkey % 3 = 2 THEN CAST(c_nationkey AS VARCHAR) END AS c_nationkey FROM customer"""
+SQL["stream_schema_drift"] = f"""SELECT *, CAST(CASE WHEN c_nationkey IS NULL THEN 1 ELSE 2 END AS INTEGER) AS schema_version,
+  'crm' AS source_system, 'load-1' AS load_id,
+  CASE WHEN c_nationkey IS NULL THEN {hashed(("c_custkey", "c_name", "c_mktsegment"))} ELSE {hashed(("c_custkey", "c_name", "c_nationkey"))} END AS record_hash
+FROM ({_DRIFTED})"""
+SQL["stream_schema_rescued"] = f"""SELECT c_custkey, c_name, c_mktsegment, CAST(1 AS INTEGER) AS schema_version,
+  coalesce('c_nationkey=' || c_nationkey, '') AS rescued FROM ({_DRIFTED})"""
 SQL["raw_append"] = query(
     "SELECT batch_date, count(*) AS n, count(DISTINCT record_hash) AS hashes FROM study_feed GROUP BY 1", "study_feed"
 )
@@ -556,6 +575,21 @@ SQL["completeness_gate"] = query(
     ),
     "study_feed",
 )
+_GATED = ("study_id", "protocol_no", "sponsor_external_id")
+_FILLED = f"NOT {blank('protocol_no')} AND NOT {blank('sponsor_external_id')}"
+_VERSIONS = {"1": _FILLED, "2": "true", "3": f"{_FILLED} AND batch_date > '2026-01-01'"}
+SQL["gated_publication"] = query(
+    "SELECT *, coalesce(max(version) FILTER (held = 0) OVER (ORDER BY version RANGE UNBOUNDED PRECEDING), NULL) AS published_then FROM (SELECT *, sum(CASE WHEN passed THEN 0 ELSE 1 END) OVER (PARTITION BY version) AS held FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{v}' AS version, 'completeness_{c}' AS metric_name, round(avg(CASE WHEN {blank(c)} THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END), 6) AS metric_value, "
+        f"coalesce(avg(CASE WHEN {blank(c)} THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END) >= 0.98, true) AS passed FROM study_feed WHERE {there}"
+        for v, there in _VERSIONS.items()
+        for c in _GATED
+    )
+    + "))",
+    "study_feed",
+)
+SQL["gated_publication"] = SQL["gated_publication"].replace("SELECT *, coalesce(max", "SELECT version, metric_name, metric_value, passed, coalesce(max", 1)
 _ORPHAN = """FROM orders o WHERE o_orderpriority = '5-LOW' OR NOT EXISTS (
   SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_acctbal >= 0)"""
 SQL["orphan_rows"] = "SELECT o_orderkey " + _ORPHAN

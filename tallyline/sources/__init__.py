@@ -13,6 +13,17 @@ from tallyline.sources.files import (
 )
 from tallyline.sources.keyed import KeyedTable
 from tallyline.sources.lineage import add_ingestion_metadata, with_record_hash
+from tallyline.sources.publish import (
+    Limit,
+    completeness_limits,
+    completeness_measures,
+    gated_write,
+    measured,
+    publish,
+    published,
+    read_audit,
+    read_published,
+)
 from tallyline.sources.sinks import (
     append_raw,
     drop_staged,
@@ -26,17 +37,26 @@ from tallyline.sources.sinks import (
 
 __all__ = [
     "KeyedTable",
+    "Limit",
     "add_ingestion_metadata",
     "append_raw",
+    "completeness_limits",
+    "completeness_measures",
     "drop_staged",
     "export_changes",
+    "gated_write",
     "malformed",
+    "measured",
     "overwrite_table",
+    "publish",
+    "published",
+    "read_audit",
     "read_batch_csv",
     "read_checked_csv",
     "read_checked_json",
     "read_json",
     "read_labels",
+    "read_published",
     "read_table",
     "shared_dir",
     "staged",
