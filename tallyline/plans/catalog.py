@@ -975,14 +975,15 @@ def report_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _loaded_job(spark: SparkSession, sf: str) -> Job:
-    """Two batches through the whole load job: the feeds up to the middle of January, and what came later."""
+    """Two batches through the whole load job: each feed up to a day, and what came later."""
     root = shared_dir(spark, "lake")
     feeds = {"studies": study_feed, "contracts": contract_feed, "invoices": invoice_feed, "sponsors": sponsor_feed}
     job = Job(spark, f"{root}/lake")
     batches = (Batch("b1", datetime(2026, 1, 20)), Batch("b2", datetime(2026, 3, 1), previous="b1"))
-    for batch, there in zip(batches, ("batch_date <= '2026-01-14'", "batch_date > '2026-01-14'"), strict=True):
+    for batch, later in zip(batches, (False, True), strict=True):
         landing = {}
         for name, feed in feeds.items():
+            there = (F.col("batch_date") > ("1997-06-01" if name == "invoices" else "2026-01-14")) == F.lit(later)
             path = f"{root}/landing/{batch.batch_id}/{name}"
             writer = feed(spark, sf).where(there).select(*LIFECYCLE_FEEDS[name][0], "batch_date").write.partitionBy("batch_date").option("header", True)
             writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
@@ -993,8 +994,8 @@ def _loaded_job(spark: SparkSession, sf: str) -> Job:
 
 @query
 def load_job(spark: SparkSession, sf: str) -> DataFrame:
-    """The invoice headers that two batches of the load job leave, changed part by part."""
-    return _loaded_job(spark, sf).current("target", "invoice", "b2").drop("invoice_external_id_row_hash")
+    """The projects that two batches of the load job leave, changed part by part."""
+    return _loaded_job(spark, sf).current("target", "project", "b2").drop("project_external_id_row_hash")
 
 
 # --- documented extras ------------------------------------------------------------------------
