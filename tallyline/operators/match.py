@@ -20,6 +20,8 @@ from tallyline.operators.skew import frequent_items, hot_items, hot_keys, names_
 
 # Distinct right-hand names held in one array row.
 BLOCK_SIZE = 2048
+# Similarity is rounded to four places.
+FOUR_PLACES = 0.00005
 # Level of a pair that meets no rule.
 NO_MATCH = 99
 
@@ -145,8 +147,11 @@ def best_match(
     3. Only left rows without one are compared with the names of their key. Those names lie in
        arrays of about ``block_size``, so a crowded key is spread over many rows and tasks and no
        pair is ever a row. Equal probes are compared once.
+    4. Ids that no key finds are compared by the fuzzy rule, if both sides have its columns: names that are
+       similar in all of them meet on rare grams (``similar_tuples``), so no key is shared and no pair missed.
 
-    ``stage`` may store the two intermediate tables that are read several times (see sources.staged).
+    ``stage`` may store the intermediate tables that are read several times (see sources.staged); with a
+    fuzzy rule it should, since all of the plan up to there is otherwise repeated.
     """
     both = [c for c in left.columns if c in right.columns]
     names = list(dict.fromkeys(d.column for d in spec.dimensions if d.column in both))
@@ -169,7 +174,7 @@ def best_match(
     rights = entries(right.select("*", order).toDF(*r_cols, "_order"), "r_")
     lefts = entries(left.toDF(*l_cols), "l_")
     # keys crowded on either side, found in one pass each and used by all the joins below
-    crowded_left, crowded_right = hot_keys(lefts, key), hot_keys(rights, key)
+    crowded_left, crowded_right = stage(hot_keys(lefts, key)), stage(hot_keys(rights, key))
 
     # 1. one right row per level, key and names
     representatives = stage(
@@ -214,6 +219,28 @@ def best_match(
         )
         every = settled.unionByName(searched.select(*l_cols, "_rank", "_best"))
 
+    # 4. ids without any candidate so far, by similar names alone
+    fuzzy = [c for c, _ in spec.fuzzy]
+    if fuzzy and all(c in names for c in fuzzy):
+        level, likes = len(spec.levels) + 1, [f"_n_{c}" for c in fuzzy]
+        as_text = [f"coalesce(CAST(`{{}}{c}` AS STRING), '') AS _n_{c}" for c in names]
+        every = stage(every)
+        lost = left.toDF(*l_cols).join(every.select(f"l_{left_id}"), f"l_{left_id}", "left_anti")
+        lost = stage(lost.selectExpr(*[f"`{c}`" for c in l_cols], *[x.format("l_") for x in as_text]))
+        shown = right.select("*", order).toDF(*r_cols, "_order").selectExpr("*", *[x.format("r_") for x in as_text])
+        shown = stage(shown.groupBy(*n_cols).agg(F.expr(f"min(struct(_order, {names_sql(r_cols)})) AS _right")))
+        met = similar_tuples(lost.select(*likes), shown.select(*likes), [least for _, least in spec.fuzzy])
+        met = stage(met.select(*[f"l_{i}" for i in range(len(likes))], *[f"r_{i}" for i in range(len(likes))]))
+        shown = shown.select(*[F.col(c).alias(f"r_{i}") for i, c in enumerate(likes)], F.struct(*n_cols, "_right").alias("_member"))
+        asked = lost.select(*n_cols).distinct().select("*", *[F.col(c).alias(f"l_{i}") for i, c in enumerate(likes)])
+        on = [f"l_{i}" for i in range(len(likes))]
+        close = skew_join(asked, met, on, hot_right=True)
+        close = skew_join(close, shown, [f"r_{i}" for i in range(len(likes))], hot_right=True)
+        close = close.selectExpr(*n_cols, f"{level} AS _rank", f"{_best_of(spec, names, 'array(_member)')} AS _best")
+        close = close.groupBy(*n_cols).agg(F.expr("min(struct(_rank, _best)) AS _hit")).select(*n_cols, "_hit.*")
+        found = skew_join(lost, close, n_cols).select(*l_cols, "_rank", "_best")
+        every = every.unionByName(found)
+
     best = f"min(struct(_rank, _best.loss, _best.gaps, _best._right, _best.parts, {names_sql(l_cols)})) AS _top"
     return (
         every.groupBy(F.col(f"l_{left_id}").alias("_id"))
@@ -229,6 +256,82 @@ def best_match(
     )
 
 
+def _grams(df: DataFrame, gram: int) -> DataFrame:
+    """Every substring of ``gram`` characters of the padded value ``_v``."""
+    pad = f"repeat(chr(1), {gram - 1})"
+    return df.selectExpr(
+        "_v",
+        f"explode(transform(sequence(1, length(_v) + {gram - 1}), "
+        f"i -> substring(concat({pad}, _v, {pad}), i, {gram}))) AS _gram",
+    )
+
+
+def _common_grams(values: DataFrame, gram: int) -> tuple[DataFrame, DataFrame]:
+    """The most frequent grams, 1024 or one per partition, so what is broadcast has a fixed size; and the hot ones."""
+    partitions = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    common = frequent_items(_grams(values, gram), "_gram", max(1024, partitions), max(1024, partitions))
+    hot = hot_items(common, partitions).selectExpr("xxhash64(_hot) AS _hot", "_parts")
+    return F.broadcast(common.selectExpr("inline(_top) AS (_gram, _n)")), hot
+
+
+def _rarest_grams(values: DataFrame, common: DataFrame, floor: float, gram: int) -> DataFrame:
+    """``_v, _set``: so many of the rarest grams of each value that a similar one shares one of its own.
+
+    ``values`` is already partitioned by value, so nothing is shuffled.
+    """
+    keep = f"CAST(floor(length(_v) * {1 - floor}D / {floor}D) * {gram} + 1 AS INT)"
+    return (
+        _grams(values, gram)
+        .join(common, "_gram", "left")
+        .groupBy("_v")
+        .agg(F.expr("array_sort(collect_list(struct(coalesce(_n, 0L) AS n, xxhash64(_gram) AS h, _gram AS g))) AS _all"))
+        .selectExpr("_v", f"array_distinct(slice(_all, 1, {keep}).g) AS _set")
+    )
+
+
+def similar_tuples(left: DataFrame, right: DataFrame, least: Sequence[float], gram: int = 3) -> DataFrame:
+    """All pairs of distinct rows that are similar in every column: ``l_0, l_1, ..., r_0, ..., similarity_0, ...``.
+
+    Both sides have one string column for each of ``least`` (0.75 or more each); rows with an empty one are
+    left out. Nothing is missed: similar values share one of their rarest grams, so rows meet on one such
+    gram of every column at once. A column that a third of all rows have in common is parted by the others.
+    """
+    if min(least) < 0.75:
+        raise ValueError("similar_tuples needs least similarities of 0.75 or more")
+    columns = range(len(least))
+    values = [f"_v{i}" for i in columns]
+
+    def tuples(df: DataFrame) -> DataFrame:
+        rows = df.toDF(*values).selectExpr(*[f"CAST({v} AS STRING) AS {v}" for v in values])
+        return rows.where(" AND ".join(f"{v} <> ''" for v in values)).distinct()
+
+    sides = {"l": tuples(left), "r": tuples(right)}
+    for i in columns:
+        single = {side: rows.select(F.col(f"_v{i}").alias("_v")).distinct() for side, rows in sides.items()}
+        common, _ = _common_grams(single["l"].unionByName(single["r"]), gram)
+        for side in sides:
+            sets = _rarest_grams(single[side], common, least[i] - FOUR_PLACES, gram)
+            hashed = sets.selectExpr(f"_v AS _v{i}", f"transform(_set, x -> xxhash64(x)) AS _s{i}")
+            sides[side] = skew_join(sides[side], hashed, [f"_v{i}"])
+
+    def entries(side: str) -> DataFrame:
+        rows = sides[side].select(*[F.col(f"_v{i}").alias(f"{side}_{i}") for i in columns], *[F.col(f"_s{i}").alias(f"_{side}_s{i}") for i in columns])
+        for i in columns:
+            rows = rows.withColumn(f"_g{i}", F.explode(f"_{side}_s{i}"))
+        return rows
+
+    on = [f"_g{i}" for i in columns]
+    met = skew_join(entries("l"), entries("r"), on, hot_right=True)
+    for i in columns:
+        lengths = f"length(l_{i}), length(r_{i})"
+        # a pair that shares several grams is kept at the first of each column only
+        first_met = f"array_min(array_intersect(_l_s{i}, _r_s{i})) = _g{i}"
+        met = met.where(f"least({lengths}) >= greatest({lengths}) * {least[i] - FOUR_PLACES}D AND {first_met}")
+    for i in columns:
+        met = met.withColumn(f"similarity_{i}", F.expr(similarity_sql(f"l_{i}", f"r_{i}"))).where(F.col(f"similarity_{i}") >= least[i])
+    return met.select(*[f"l_{i}" for i in columns], *[f"r_{i}" for i in columns], *[f"similarity_{i}" for i in columns])
+
+
 def similar_values(left: DataFrame, right: DataFrame, least: float, gram: int = 3) -> DataFrame:
     """All (l_value, r_value, similarity) with similarity of at least ``least`` (0.75 or more).
 
@@ -238,38 +341,17 @@ def similar_values(left: DataFrame, right: DataFrame, least: float, gram: int =
     """
     if least < 0.75:
         raise ValueError("similar_values needs a least similarity of 0.75 or more")
-    floor = least - 0.00005  # similarity is rounded to four places
+    floor = least - FOUR_PLACES
 
     def values(df: DataFrame) -> DataFrame:
         return df.toDF("_v").selectExpr("CAST(_v AS STRING) AS _v").where("_v <> ''").distinct()
 
-    def grams(df: DataFrame) -> DataFrame:
-        """Every substring of ``gram`` characters of the padded value."""
-        pad = f"repeat(chr(1), {gram - 1})"
-        return df.selectExpr(
-            "_v",
-            f"explode(transform(sequence(1, length(_v) + {gram - 1}), "
-            f"i -> substring(concat({pad}, _v, {pad}), i, {gram}))) AS _gram",
-        )
-
     lefts, rights = values(left), values(right)
-    # the most frequent grams, 1024 or one per partition, so what is broadcast has a fixed size
-    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    common = frequent_items(grams(lefts.unionByName(rights)), "_gram", max(1024, partitions), max(1024, partitions))
-    counts = F.broadcast(common.selectExpr("inline(_top) AS (_gram, _n)"))
-    hot = hot_items(common, partitions).selectExpr("xxhash64(_hot) AS _hot", "_parts")
+    common, hot = _common_grams(lefts.unionByName(rights), gram)
 
     def prefixes(df: DataFrame, side: str) -> DataFrame:
-        """The rarest grams of each value. ``df`` is already partitioned by value, so nothing is shuffled."""
-        keep = f"CAST(floor(length(_v) * {1 - floor}D / {floor}D) * {gram} + 1 AS INT)"
-        return (
-            grams(df)
-            .join(counts, "_gram", "left")
-            .groupBy("_v")
-            .agg(F.expr("array_sort(collect_list(struct(coalesce(_n, 0L) AS n, xxhash64(_gram) AS h, _gram AS g))) AS _all"))
-            .selectExpr(f"_v AS {side}_value", f"array_distinct(slice(_all, 1, {keep}).g) AS _{side}_set")
-            .selectExpr("*", f"explode(_{side}_set) AS _gram")
-        )
+        sets = _rarest_grams(df, common, floor, gram)
+        return sets.selectExpr(f"_v AS {side}_value", f"_set AS _{side}_set", "explode(_set) AS _gram")
 
     met = skew_join(prefixes(lefts, "l"), prefixes(rights, "r"), ["_gram"], hot=hot, hot_right=hot)
     lengths = "length(l_value), length(r_value)"

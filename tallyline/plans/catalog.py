@@ -28,7 +28,7 @@ from tallyline.operators.conform import conform, normalize_join_keys, split
 from tallyline.operators.dedupe import deduplicate_by_key, top_per_key
 from tallyline.operators.hierarchy import roll_up
 from tallyline.operators.joins import any_key_join, link_on_keys, prefixed, priority_join
-from tallyline.operators.match import score_pairs, similar_values
+from tallyline.operators.match import best_match, score_pairs, similar_values
 from tallyline.operators.skew import skew_join
 from tallyline.plans import trials
 from tallyline.plans.lifecycle import FEEDS as LIFECYCLE_FEEDS
@@ -609,6 +609,39 @@ def similar_names(spark: SparkSession, sf: str) -> DataFrame:
     return similar_values(part.select(typed.alias("v")), part.select(F.lower(label).alias("v")), 0.85)
 
 
+def _contract_systems(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The parts as contracts of two systems, which by turns share a sponsor, a protocol, a contract or study name, or no key."""
+    part = table(spark, sf, "part")
+    key, turn = F.col("p_partkey").cast("string"), F.col("p_partkey") % 5
+    sponsor = F.upper(F.concat_ws(" ", "p_name", "p_type"))
+    contract = F.upper(F.concat_ws(" ", "p_type", "p_name", "p_brand"))
+    shared = {
+        "sponsor_external_id_std": F.when(turn == 0, F.concat(F.lit("S"), key)),
+        "protocol_no_std": F.when(turn == 1, F.concat(F.lit("P"), key)),
+        "study_name_std": F.when(turn == 4, F.concat(F.lit("STUDY "), key)),
+        "sponsor_name_std": sponsor,
+    }
+    left = part.select(
+        F.concat(F.lit("A-"), key).alias("left_id"), *[c.alias(n) for n, c in shared.items()],
+        F.when(turn == 2, contract).when(turn == 3, F.concat(contract, F.lit("Q"))).alias("contract_name_std"),
+    )
+    right = part.select(
+        F.concat(F.lit("B-"), key).alias("right_id"), *[c.alias(n) for n, c in shared.items() if n != "sponsor_name_std"],
+        F.when(turn == 2, F.replace(sponsor, F.lit("E"), F.lit("X"))).otherwise(sponsor).alias("sponsor_name_std"), contract.alias("contract_name_std"),
+    )
+    return left, right
+
+
+@query
+def fuzzy_contract_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """The best contract of the other system at every level; without a shared key by names alone."""
+    left, right = (staged(x) for x in _contract_systems(spark, sf))
+    found = best_match(left, right, trials.MATCHING, "left_id", [F.col("right_id")], stage=staged)
+    return found.select(
+        "l_left_id", "r_right_id", "match_level", "sponsor_match_score", "study_match_score", "contract_match_score", "scored_dims", "overall_match_confidence"
+    )
+
+
 @query
 def priority_lookup(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select(

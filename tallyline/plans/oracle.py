@@ -667,6 +667,35 @@ _LABELS = "lower(p_name || ' ' || p_type)"
 SQL["similar_names"] = f"""SELECT * FROM (SELECT l_value, r_value, {similar('l_value', 'r_value')} AS similarity
   FROM (SELECT DISTINCT replace({_LABELS}, 'e', '') AS l_value FROM part), (SELECT DISTINCT {_LABELS} AS r_value FROM part))
 WHERE similarity >= 0.85"""
+_SYSTEMS = """SELECT p_partkey % 5 AS turn, CAST(p_partkey AS VARCHAR) AS k, upper(p_name || ' ' || p_type) AS sname,
+  upper(p_type || ' ' || p_name || ' ' || p_brand) AS cname,
+  CASE WHEN p_partkey % 5 = 0 THEN 'S' || p_partkey END AS sid, CASE WHEN p_partkey % 5 = 1 THEN 'P' || p_partkey END AS pid,
+  CASE WHEN p_partkey % 5 = 4 THEN 'STUDY ' || p_partkey END AS study FROM part"""
+_SHORTER = "least(length(a.sname), length(b.sname)) >= 0.9 * greatest(length(a.sname), length(b.sname))"
+SQL["fuzzy_contract_matches"] = f"""WITH parts AS ({_SYSTEMS}),
+a AS (SELECT 'A-' || k AS id, sid, pid, study, sname, CASE turn WHEN 2 THEN cname WHEN 3 THEN cname || 'Q' END AS cname FROM parts),
+b AS (SELECT 'B-' || k AS id, sid, pid, study, CASE turn WHEN 2 THEN replace(sname, 'E', 'X') ELSE sname END AS sname, cname FROM parts),
+keyed AS (
+  SELECT a.id AS l, b.id AS r, 1 AS level FROM a JOIN b ON a.sid = b.sid UNION ALL SELECT a.id, b.id, 2 FROM a JOIN b ON a.pid = b.pid
+  UNION ALL SELECT a.id, b.id, 3 FROM a JOIN b ON a.cname = b.cname UNION ALL SELECT a.id, b.id, 4 FROM a JOIN b ON a.study = b.study
+  UNION ALL SELECT a.id, b.id, 5 FROM a JOIN b ON a.sid IS NULL AND a.pid IS NULL AND a.study IS NULL AND {_SHORTER}
+    AND {similar('a.sname', 'b.sname')} >= 0.9 AND {similar('a.cname', 'b.cname')} >= 0.85
+), levels AS (SELECT l, r, min(level) AS match_level FROM keyed GROUP BY l, r),
+nearest AS (SELECT * FROM levels QUALIFY match_level = min(match_level) OVER (PARTITION BY l)),
+scored AS (
+  SELECT l, r, match_level, CASE WHEN match_level = 1 THEN 1.0::DOUBLE ELSE {similar('a.sname', 'b.sname')} END AS s,
+    CASE WHEN a.study IS NOT NULL AND b.study IS NOT NULL THEN {similar('a.study', 'b.study')} END AS t,
+    CASE WHEN a.cname IS NOT NULL THEN {similar('a.cname', 'b.cname')} END AS c
+  FROM nearest JOIN a ON a.id = l JOIN b ON b.id = r
+), summed AS (
+  SELECT *, CAST(1 + CASE WHEN t IS NULL THEN 0 ELSE 1 END + CASE WHEN c IS NULL THEN 0 ELSE 1 END AS INTEGER) AS n,
+    round((s * 0.45::DOUBLE + coalesce(t * 0.25::DOUBLE, 0) + coalesce(c * 0.3::DOUBLE, 0))
+      / (0.45::DOUBLE + CASE WHEN t IS NULL THEN 0 ELSE 0.25::DOUBLE END + CASE WHEN c IS NULL THEN 0 ELSE 0.3::DOUBLE END), 4) AS conf
+  FROM scored
+)
+SELECT l AS l_left_id, r AS r_right_id, match_level, s AS sponsor_match_score, t AS study_match_score, c AS contract_match_score,
+  n AS scored_dims, conf AS overall_match_confidence
+FROM summed QUALIFY row_number() OVER (PARTITION BY l ORDER BY conf DESC, n DESC, r) = 1"""
 SQL["priority_lookup"] = """WITH s AS (SELECT CASE WHEN s_acctbal >= 0 THEN s_suppkey END AS code, s_nationkey AS nation, s_name FROM supplier),
 a AS (SELECT code, min(s_name) AS s_name FROM s WHERE code IS NOT NULL GROUP BY 1),
 b AS (SELECT nation, min(s_name) AS s_name FROM s GROUP BY 1)

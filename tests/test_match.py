@@ -9,7 +9,7 @@ from tallyline import sources
 from tallyline.functions import similarity
 from tallyline.operators import metrics
 from tallyline.operators.joins import prefixed
-from tallyline.operators.match import Dimension, MatchSpec, best_match, score_pairs, similar_values
+from tallyline.operators.match import Dimension, MatchSpec, best_match, score_pairs, similar_tuples, similar_values
 from tallyline.plans import trials
 from tests.fixtures import FEEDS, LABELS, land
 
@@ -47,6 +47,51 @@ def test_best_match_equals_scoring_every_pair(spark, seed, block):
     assert sorted(map(tuple, got.select(*columns).collect())) == expected
 
 
+FUZZY = MatchSpec(["sp", "pr"], [Dimension("sponsor", "sname", 0.45, "sp"), Dimension("study", "study", 0.25), Dimension("contract", "contract", 0.30)], [("sname", 0.8), ("contract", 0.75)])
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_fuzzy_candidates_without_a_key_equal_scoring_every_pair(spark, seed):
+    rng = random.Random(seed)
+
+    def rows(n, name):
+        word = lambda k: "".join(rng.choice("AB") for _ in range(rng.randint(0, k)))
+        return [(f"{name}{i // 2}", rng.choice(["", None, "a", str(i)]), rng.choice(["", "p", None, f"{name}{i}"]), word(8), rng.choice(["", "S", "T"]), word(6)) for i in range(n)]
+
+    schema = "sp string, pr string, sname string, study string, contract string"
+    left = spark.createDataFrame(rows(60, "l"), f"lid string, {schema}")
+    right = spark.createDataFrame(rows(50, "r"), f"rid string, {schema}").withColumn("seq", F.monotonically_increasing_id())
+    left, right = sources.staged(left), sources.staged(right)
+    got = best_match(left, right, FUZZY, "lid", [F.col("seq")], stage=sources.staged)
+    by_all = score_pairs(prefixed(left, "l_").crossJoin(prefixed(right, "r_")), FUZZY)
+    order = Window.partitionBy("l_lid").orderBy("match_level", F.desc("overall_match_confidence"), F.desc("scored_dims"), "r_seq")
+    columns = ["l_lid", "r_rid", "r_seq", "match_level", "overall_match_confidence", "scored_dims"]
+    expected = sorted(map(tuple, by_all.withColumn("rn", F.row_number().over(order)).where("rn = 1").select(*columns).collect()))
+    found = sorted(map(tuple, got.select(*columns).collect()))
+    assert found == expected
+    assert {1, 2, 3} <= {r[3] for r in found}
+
+
+@pytest.mark.parametrize("least", [(0.75, 0.75), (0.9, 0.8)])
+def test_similar_tuples_miss_nothing(spark, least):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("ABé") for _ in range(rng.randint(0, 9)))
+    hot = "THE SAME SPONSOR"
+    left = [(rng.choice([hot, word()]), word()) for _ in range(120)] + [(hot, None), (None, "A")]
+    right = [(rng.choice([hot, hot[:-1], word()]), word()) for _ in range(120)] + [(a, (b or "") + "A") for a, b in left[:40]]
+    left, right = (spark.createDataFrame(x, "a string, b string") for x in (left, right))
+    names = ["l_0", "l_1", "r_0", "r_1", "similarity_0", "similarity_1"]
+    got = similar_tuples(left, right, least)
+    assert got.columns == names
+    filled = "a <> '' AND b <> ''"
+    every = left.where(filled).distinct().toDF("l_0", "l_1").crossJoin(right.where(filled).distinct().toDF("r_0", "r_1"))
+    every = every.select("*", similarity("l_0", "r_0").alias("similarity_0"), similarity("l_1", "r_1").alias("similarity_1"))
+    every = every.where((F.col("similarity_0") >= least[0]) & (F.col("similarity_1") >= least[1]))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, every.select(*names).collect())) != []
+    with pytest.raises(ValueError):
+        similar_tuples(left, right, (0.9, 0.5))
+
+
 def test_best_match_without_a_nested_loop(spark):
     left = spark.createDataFrame([("l", "a", "p", "S")], "lid string, sp string, pr string, study string")
     right = spark.createDataFrame([("r", "a", "p", "S")], "rid string, sp string, pr string, study string")
