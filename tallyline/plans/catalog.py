@@ -54,6 +54,7 @@ from tallyline.sources import (
     write_conformed,
     write_version,
 )
+from tallyline.sources.keyed import is_there
 from tallyline.streaming import (
     ChangeFeed,
     DriftingFeed,
@@ -666,14 +667,33 @@ def _sponsors(spark: SparkSession, sf: str) -> DataFrame:
     return trials.sponsor_crosswalk(sponsor_feed(spark, sf), feeds)
 
 
+# What several queries of a session read, by session, tables and name: the folder that it is stored in.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table that the session stores when it is first asked for, as the load job stores its steps.
+
+    It is built again if its folder has been removed (``drop_staged``).
+    """
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STORED or not is_there(spark, _STORED[key]):
+        path = shared_dir(spark, name)
+        build().write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
 def _matches(spark: SparkSession, sf: str) -> DataFrame:
-    return trials.study_contract_matches(staged(study_feed(spark, sf)), staged(contract_feed(spark, sf)), stage=staged)
+    def build() -> DataFrame:
+        return trials.study_contract_matches(staged(study_feed(spark, sf)), staged(contract_feed(spark, sf)), stage=staged)
+
+    return _once(spark, sf, "matches", build)
 
 
 def _crosswalk(spark: SparkSession, sf: str) -> DataFrame:
     """The stored crosswalk, as the steps after it read it."""
-    studies, contracts, invoices = (staged(feed(spark, sf)) for feed in (study_feed, contract_feed, invoice_feed))
-    return staged(trials.study_contract_crosswalk(studies, contracts, invoices, staged))
+    return _once(spark, sf, "crosswalk", lambda: trials.attach_invoices(_matches(spark, sf), staged(invoice_feed(spark, sf))))
 
 
 @query
@@ -829,6 +849,20 @@ def scd2_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return history.history_from_snapshots(snapshots, ["o_orderkey"])
 
 
+@query
+def late_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The history of the users' events, three loads of them one after another, most of them late; an error is a delete."""
+    events = table(spark, sf, "events").select("user_id", "event_type", F.floor("value").alias("value"), "ts", "event_id")
+    events = staged(events.withColumn("record_hash", record_hash(["event_type", "value"])).drop("event_id"))
+    loads = [events.where(F.pmod(F.xxhash64("user_id", "ts", "record_hash"), F.lit(3)) == n) for n in range(3)]
+    deleted, log = "event_type = 'error'", loads[0]
+    rows = staged(history.history_from_changes(log, ["user_id"], "ts", deleted=deleted))
+    for late in loads[1:]:
+        rows = staged(history.splice_late(rows, log, late, ["user_id"], "ts", deleted=deleted))
+        log = log.unionByName(late)
+    return rows
+
+
 @query
 def change_counts(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.change_type_counts(_detected(spark, sf))
@@ -985,7 +1019,7 @@ def _report(spark: SparkSession, sf: str, studies: DataFrame, contracts: DataFra
 @query
 def recon_report(spark: SparkSession, sf: str) -> DataFrame:
     studies, contracts = staged(study_feed(spark, sf)), staged(contract_feed(spark, sf))
-    matching = metrics.match_accuracy(trials.study_contract_matches(studies, contracts, stage=staged), threshold=trials.CONFIDENT)
+    matching = metrics.match_accuracy(_matches(spark, sf), threshold=trials.CONFIDENT)
     report = _report(spark, sf, studies, contracts).drop("report_generated_ts").unionByName(matching)
     return report.orderBy("metric_group", "metric_name")
 

@@ -743,6 +743,16 @@ SQL["keyed_versions"] = query(
 SQL["keyed_upsert"] = query(
     "SELECT * FROM snap2 UNION ALL SELECT * FROM snap1 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM snap2)", "snap1", "snap2"
 )
+SQL["late_history"] = f"""WITH changes AS (
+  SELECT *, {hashed(("event_type", "value"))} AS record_hash, event_type = 'error' AS gone
+  FROM (SELECT user_id, event_type, CAST(floor(value) AS BIGINT) AS value, ts FROM events)
+), counted AS (SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY gone DESC, record_hash) = 1),
+turns AS (
+  SELECT * FROM counted WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+  QUALIFY NOT coalesce(lag(gone) OVER w = gone AND (gone OR lag(record_hash) OVER w = record_hash), false)
+), ended AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS effective_to_ts FROM turns)
+SELECT user_id, event_type, value, record_hash, ts AS effective_from_ts, effective_to_ts, effective_to_ts IS NULL AS is_current
+FROM ended WHERE NOT gone"""
 SQL["scd2_history"] = SQL["scd2_rebuild"] = query(_SCD2, "islands")
 SQL["change_counts"] = query(
     " UNION ALL ".join(

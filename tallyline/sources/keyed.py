@@ -34,6 +34,11 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in files.listStatus(folder) if x.isDirectory())
 
 
+def is_there(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

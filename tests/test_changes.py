@@ -109,3 +109,48 @@ def test_insert_of_an_open_key_changes_nothing(spark):
     updates = changes.withColumn("change_type", F.lit("update"))
     again = hist.advance_history(open_rows.where("false"), updates, ["id", "part"], T2).collect()
     assert [(r.value, r.is_current, r.effective_from_ts) for r in again] == [("y", True, T2)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_late_changes_in_any_order_give_the_history_of_the_ordered_ones(spark, seed):
+    rng = random.Random(seed)
+    moments = [datetime(2026, 1, d) for d in range(1, 20)]
+    changes = [(f"k{rng.randrange(6)}", rng.choice("xyz-"), at) for at in moments for _ in range(3)]
+    changes = list({(k, at): (k, v, at) for k, v, at in changes}.values())  # one change of a key a moment
+
+    def ordered(rows):
+        out = []
+        for k in sorted({r[0] for r in rows}):
+            state, since = None, None
+            for _, v, at in sorted((r for r in rows if r[0] == k), key=lambda r: r[2]):
+                v = None if v == "-" else v
+                if v != state:
+                    if state is not None:
+                        out.append((k, state, since, at, False))
+                    state, since = v, at
+            if state is not None:
+                out.append((k, state, since, None, True))
+        return sorted(out, key=str)
+
+    rng.shuffle(changes)
+    log = spark.createDataFrame([], "id string, value string, at timestamp").withColumn("record_hash", fn.record_hash(["value"]))
+    history = hist.history_from_changes(log, ["id"], "at")
+    shown = ["id", "value", hist.FROM, hist.TO, hist.CURRENT]
+    for n in range(0, len(changes), 14):
+        late = spark.createDataFrame(changes[n : n + 14], "id string, value string, at timestamp").withColumn("record_hash", fn.record_hash(["value"]))
+        history = staged(hist.splice_late(history, log, late, ["id"], "at", deleted="value = '-'"))
+        log = staged(log.unionByName(late))
+        assert sorted(map(tuple, history.select(*shown).collect()), key=str) == ordered(changes[: n + 14]), n
+    again = hist.splice_late(history, log, late, ["id"], "at", deleted="value = '-'")
+    assert sorted(map(tuple, again.select(*shown).collect()), key=str) == ordered(changes)
+
+
+def test_late_changes_touch_their_keys_only(spark):
+    rows = frame(spark, [("a", "1", "x"), ("b", "1", "y"), (None, "1", "z")]).withColumn("at", F.lit(T2))
+    history = hist.open_history(rows.drop("at"), T2)
+    late = frame(spark, [("a", "1", "w")]).withColumn("at", F.lit(T1))
+    found = hist.splice_late(history, rows, late, ["id", "part"], "at")
+    assert found.columns == history.columns
+    assert sorted(map(str, ((r.id, r.value, r[hist.FROM], r[hist.TO], r[hist.CURRENT]) for r in found.collect()))) == sorted(
+        map(str, [("a", "w", T1, T2, False), ("a", "x", T2, None, True), ("b", "y", T2, None, True), (None, "z", T2, None, True)])
+    )
