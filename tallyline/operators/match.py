@@ -127,6 +127,10 @@ def _best_of(spec: MatchSpec, names: Sequence[str], members: str) -> str:
     )
 
 
+def _as_it_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def best_match(
     left: DataFrame,
     right: DataFrame,
@@ -134,7 +138,7 @@ def best_match(
     left_id: str,
     right_order: Sequence[Column],
     block_size: int = BLOCK_SIZE,
-    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Per ``left_id`` the best candidate: level, then confidence, then parts scored, then ``right_order``.
 
@@ -174,7 +178,11 @@ def best_match(
     rights = entries(right.select("*", order).toDF(*r_cols, "_order"), "r_")
     lefts = entries(left.toDF(*l_cols), "l_")
     # keys crowded on either side, found in one pass each and used by all the joins below
-    crowded_left, crowded_right = stage(hot_keys(lefts, key)), stage(hot_keys(rights, key))
+    crowded_left, crowded_right = hot_keys(lefts, key), hot_keys(rights, key)
+    if stage is None:
+        stage = _as_it_is
+    else:  # stored lists are read by every join below, and where none is crowded no join has to part rows
+        crowded_left, crowded_right = (False if x.isEmpty() else x for x in (stage(crowded_left), stage(crowded_right)))
 
     # 1. one right row per level, key and names
     representatives = stage(

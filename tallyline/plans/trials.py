@@ -233,7 +233,7 @@ def study_contract_matches(studies: DataFrame, contracts: DataFrame, stage: Stag
     ).drop("study_name", "protocol_no")
     # newest batch first; rows alike in everything shown are one and the same
     order = [F.col(c) for c in right.columns if c == "recency"] + [F.col("contract_id"), F.col("contract_name")]
-    best = best_match(left, right, MATCHING, "study_id", order, stage=stage)
+    best = best_match(left, right, MATCHING, "study_id", order, stage=None if stage is lazily else stage)
     return best.select(
         F.col("l_study_id").alias("study_id"),
         F.col("l_study_name").alias("study_name"),
