@@ -358,8 +358,8 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     Rows with a null doc_id stay. Of several versions of the kept document, the first by text stays.
     """
-    kept = near_duplicates(docs, threshold).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
-    stays = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    kept = near_duplicates(docs, threshold).where("kept and doc_id is not null").select("doc_id").distinct()
+    stays = docs.join(kept, "doc_id", "left_semi")
     # the join has dealt the rows by doc_id already, so this takes no further shuffle
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     first = stays.groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("_row"))

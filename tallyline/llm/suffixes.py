@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm.common import mix64, table
-from tallyline.llm.repeats import Runs, cut_repeats
+from tallyline.llm.repeats import ROW, Runs, cut_repeats
 
 LENGTH = 50
 #: Bytes whose hashes choose the anchor of a window: every window is dealt by its least-hashed gram.
@@ -249,8 +249,13 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The columns of ``docs`` with repeated strings cut out of ``text``; ``n_chars`` follows it.
 
-    A character of which some bytes are cut goes as a whole. A document of which nothing is left goes.
+    A character of which some bytes are cut goes as a whole. A document of which nothing is left goes. Any
+    column names are allowed beside ``doc_id`` and ``text``.
     """
+    taken = {c.lower(): c for c in docs.columns}
+    if ROW in taken:  # the name under which rows are known on the way
+        free = next(name for name in (f"{ROW}{i}" for i in range(len(taken) + 1)) if name not in taken)
+        return deduplicated(docs.withColumnRenamed(taken[ROW], free), length).withColumnRenamed(free, taken[ROW])
     schema = T.StructType([T.StructField(f.name, T.LongType() if f.name == "doc_id" else f.dataType) for f in docs.schema])
     names = schema.names
 

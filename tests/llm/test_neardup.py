@@ -94,6 +94,16 @@ def test_one_of_each_keeps_one_row(documents, messy):
     assert ids.count(17) == 1 and ids.count(None) == 2
 
 
+def test_one_of_each_with_columns_named_like_inner_ones(spark, messy):
+    rows = [(r[0], r[1], f"own {i}", i) for i, r in enumerate(messy)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _kept string, _row long")
+    found = neardup.one_of_each(docs)
+    assert found.columns == docs.columns
+    plain = neardup.one_of_each(docs.select("doc_id", "text"))
+    assert sorted(map(str, found.select("doc_id", "text").collect())) == sorted(map(str, plain.collect()))
+    assert all(r[2] == f"own {r[3]}" for r in found.collect())
+
+
 def test_short_pairs_always_meet(spark, documents):
     rows = []
     for k, (m, n) in enumerate([(8, 9), (9, 10), (10, 11), (10, 12), (11, 13), (12, 14), (16, 19), (24, 29), (84, 104)] * 40):

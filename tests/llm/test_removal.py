@@ -98,6 +98,17 @@ def test_deduplicated_keeps_the_columns_and_whole_characters(documents, messy):
     assert rows[15].n_chars == len(rows[15].text) < len(messy[17][1])
 
 
+@pytest.mark.parametrize("name", ["_row", "_ROW"])
+def test_columns_named_like_inner_ones(spark, messy, name):
+    rows = [(r[0], r[1], f"own {i}", i) for i, r in enumerate(messy)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, `{name}` string, _row0 long")
+    plain = suffixes.deduplicated(docs.select("doc_id", "text"))
+    found = suffixes.deduplicated(docs)
+    assert found.columns == ["doc_id", "text", name, "_row0"]
+    assert sorted(map(str, found.select("doc_id", "text").collect())) == sorted(map(str, plain.collect()))
+    assert all(r[2] == f"own {r[3]}" for r in found.collect())
+
+
 def test_empty_tables(documents):
     none = documents([])
     assert substrings.remove_repeated_words(none).count() == 0
