@@ -892,5 +892,5 @@ SQL["investigator_dimension"] = query(
 FROM study_valid GROUP BY 1""",
     "study_valid",
 )
-# two batches of the load job leave what one pass over all files gives
-SQL["load_job"] = SQL["canonical_projects"]
+# two batches of the load job leave what one pass over all rows gives; an empty field of a file is read as NULL
+SQL["load_job"] = f"SELECT * REPLACE (nullif(primary_site_code, '') AS primary_site_code) FROM ({SQL['canonical_projects']})"
