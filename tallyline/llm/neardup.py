@@ -1,10 +1,9 @@
-"""Near-duplicates by order MinHash sketches, short texts by rare shingles, verified by banded alignment."""
+"""Near-duplicates by order MinHash sketches, completed by rare shingles and verified by banded alignment."""
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -22,18 +21,12 @@ THRESHOLD = 0.8
 #: rarely sample six shingles from it.
 SKETCHES = 40
 SAMPLED = 6
-#: Texts of up to so many shingles meet by their rarest shingles instead, which misses no pair and takes
-#: fewer keys than the sketches do (21 at most).
+#: Texts of up to so many shingles meet by their rarest shingles as well, which misses no pair: they have too
+#: few shingles for the chance above.
 SHORT = 100
-#: Bytes of text whose shingles are counted to tell rare from common ones. That only orders the shingles;
-#: any order finds the same pairs.
-COUNTED_BYTES = 1 << 26
-#: A bucket with more members of different groups is split by their rarest shingles. Members at the threshold
-#: always share one of these besides those the bucket stands for, so the split loses no pair.
-CROWDED = 100
-#: Rounds in which each bucket compares everything with one member, and splits if it is crowded, before
-#: the pairs left are listed.
-HUB_ROUNDS = 3
+#: Rounds in which everything in a bucket is compared with one of its members, which gathers the groups before
+#: members of different groups are compared.
+HUB_ROUNDS = 2
 TEXT_AT_ONCE = 1 << 21
 U = np.uint64
 #: Odd multipliers, one per sketch.
@@ -81,22 +74,6 @@ def order_sketches(found: np.ndarray, sketches: int = SKETCHES, sampled: int = S
     return out
 
 
-def rarest(found: np.ndarray, common: tuple[np.ndarray, np.ndarray], threshold: float = THRESHOLD, more: int = 0) -> np.ndarray:
-    """The labelled shingles of which texts at the threshold share at least ``1 + more``, the rarest first.
-
-    Two such texts have at least threshold * n of either one's n shingles in common. In one order of all
-    shingles, the first n - ceil(threshold * n) + 1 of each text therefore hold a common one, and one more
-    for each one more of these.
-    """
-    marks = labelled(found)
-    keys, counts = common
-    n = np.zeros(len(marks), np.int64)
-    if len(keys):
-        at = np.minimum(np.searchsorted(keys, marks), len(keys) - 1)
-        n = np.where(keys[at] == marks, counts[at], 0)
-    return marks[np.lexsort((marks, n))[: len(marks) - ceil(threshold * len(marks) - 1e-9) + 1 + more]]
-
-
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
     """Similarity of two texts given as words: shingles matched in order over all shingles of both.
 
@@ -148,35 +125,10 @@ def _digests(x: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> list[np.n
     return out
 
 
-def common_shingles(docs: DataFrame, most: int = COUNTED_BYTES) -> tuple[np.ndarray, np.ndarray]:
-    """Labelled shingles that occur at least three times in about ``most`` bytes of text, sorted, and their counts."""
+def sketch_table(docs: DataFrame, count: int = SKETCHES, sampled: int = SAMPLED) -> DataFrame:
+    """``doc_id, n, h1, h2, sketches`` of every row with words and a doc_id.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", TEXT_AT_ONCE):
-                words, counts = split_words(part.column("text"))
-                x = word_hashes(words) >> U(32)
-                ends = np.cumsum(counts)
-                made = [labelled(shingles(x[e - c : e])) for c, e in zip(counts[counts > 0], ends[counts > 0], strict=True)]
-                keys, n = np.unique(np.concatenate(made) if made else np.empty(0, U), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
-
-    rows = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
-    total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    if total > most:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(most / total * (1 << 20)))
-    got = rows.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 2").toArrow()
-    keys, n = (got.column(c).to_numpy() for c in ("key", "n"))
-    order = np.argsort(keys.view(U))
-    return keys.view(U)[order], n[order]
-
-
-def sketch_table(docs: DataFrame, common, count: int = SKETCHES, sampled: int = SAMPLED, threshold: float = THRESHOLD, short: int = SHORT) -> DataFrame:
-    """``doc_id, n, h1, h2, sketches, rare`` of every row with words and a doc_id.
-
-    A text of at most ``short`` shingles has its rarest ones in ``rare``. One that may reach the threshold
-    with a longer text has sketches, which start with their number and so differ from each other.
-    ``common`` is the broadcast of ``common_shingles``.
+    Sketches start with their number and so differ from each other.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,20 +139,14 @@ def sketch_table(docs: DataFrame, common, count: int = SKETCHES, sampled: int =
                 starts = np.cumsum(counts) - counts
                 h1, h2 = _digests(x, starts, counts)
                 used = np.flatnonzero(counts)
-                size = np.maximum(counts[used] - (SHINGLE - 1), 1)
-                none = np.empty(0, U)
-                made, rare = [], []
-                for i, n in zip(used, size, strict=True):
-                    own = x[starts[i] : starts[i] + counts[i]]
-                    made.append(order_sketches(shingles(own), count, sampled) if n >= threshold * (short + 1) - 1e-9 else none)
-                    rare.append(rarest(shingles(own >> U(32)), common.value, threshold) if n <= short else none)
+                made = [order_sketches(shingles(x[starts[i] : starts[i] + counts[i]]), count, sampled) for i in used]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(used)), *(pa.array(v[used]) for v in (counts.astype(np.int64), h1, h2)), _lists(made), _lists(rare)],
-                    names=["doc_id", "n", "h1", "h2", "sketches", "rare"],
+                    [part.column("doc_id").take(pa.array(used)), *(pa.array(v[used]) for v in (counts.astype(np.int64), h1, h2)), _lists(made)],
+                    names=["doc_id", "n", "h1", "h2", "sketches"],
                 )
 
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sketches array<bigint>, rare array<bigint>")
+    return rows.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sketches array<bigint>")
 
 
 def _lists(values: list[np.ndarray]) -> pa.ListArray:
@@ -224,28 +170,40 @@ def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "id long, words binary")
 
 
-def _split(many: DataFrame, words: DataFrame, common, threshold: float) -> DataFrame:
-    """Crowded buckets as smaller ones, which hold every pair of members that reaches the threshold.
-
-    ``many`` is ``bucket, rep, n, root, own``, and ``own`` lists the shingles that all members of the bucket
-    share, none for a sketch. Of their first ``size(own)`` shingles beyond the rarest, two members at the
-    threshold share one that ``own`` lacks. Texts with too few shingles for that keep their bucket as well.
-    """
+def shingle_rows(words: DataFrame) -> DataFrame:
+    """``rep, key``: every labelled shingle of the texts ``id, words``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(np.frombuffer(v.as_buffer(), "<u4")) for v in batch.column("words")]
-            first = [len(rarest(x, common.value, threshold)) for x in found]
-            lists = _lists([rarest(x, common.value, threshold, HUB_ROUNDS) for x in found])
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(first, pa.int32()), lists], names=["rep", "first", "rare"])
+            for part in slices(batch, "words", TEXT_AT_ONCE):
+                marks = [labelled(shingles(np.frombuffer(v.as_buffer(), "<u4"))) for v in part.column("words")]
+                row = np.repeat(np.arange(len(marks)), [len(m) for m in marks])
+                keys = np.concatenate([np.empty(0, U), *marks]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row)), pa.array(keys)], names=["rep", "key"])
+
+    return words.select("id", "words").mapInArrow(run, "rep long, key long")
+
+
+def rare_buckets(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Buckets of texts with a rare shingle in common: ``bucket, rep, n, root, index``.
+
+    ``rows`` is ``shingle_rows`` of the ``texts`` (``rep, n, root``). In one order of all shingles, from the
+    rarest to the most frequent, two texts with o shingles in common share one of the first n - o + 1 of each. At
+    the threshold t, o is at least t * n for either text and at least 2 t / (1 + t) * n for the shorter one, whose
+    fewer ones are marked ``index``. So every pair has a bucket that the shorter text is in by ``index``. Shingles
+    of a single text come first in the order and take places, but no rows: texts that share only a passage, and
+    are different enough beside it, are in no bucket together.
+    """
+    several = rows.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
+    shared = rows.join(several, "key").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("shared"))
+
+    def first(least: float) -> Column:
+        """How many of the shared shingles are among the first ones of a text, given the least overlap."""
+        return F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1 - (F.col("n") - F.size("shared"))
 
-    wanted = words.join(many.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", "words")
-    rare = wanted.mapInArrow(run, "rep long, first int, rare array<bigint>")
-    split = many.join(rare, "rep").select("rep", "n", "root", "own", F.explode(F.slice("rare", F.lit(1), F.col("first") + F.size("own"))).alias("other"))
-    split = split.where(~F.array_contains("own", F.col("other"))).withColumn("own", F.array_sort(F.array_append("own", F.col("other"))))
-    bucket = F.when(F.size("own") == 1, F.col("own")[0]).otherwise(F.xxhash64("own"))
-    few = many.where(F.ceil(F.col("n") * threshold - 1e-9) <= F.size("own"))
-    return split.select(bucket.alias("bucket"), "rep", "n", "root", "own").unionByName(few.select("bucket", "rep", "n", "root", "own"))
+    found = shared.join(texts, "rep").where(first(threshold) > 0)
+    found = found.select("rep", "n", "root", first(2 * threshold / (1 + threshold)).alias("few"), F.posexplode(F.slice("shared", F.lit(1), first(threshold).cast("int"))))
+    return found.select(F.col("col.key").alias("bucket"), "rep", "n", "root", (F.col("pos") < F.col("few")).alias("index"))
 
 
 def _verified(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
@@ -267,38 +225,37 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, sketches: int
     """Groups of near-duplicate documents: ``doc_id, class_id, kept``, a row per row of ``docs``.
 
     Two texts link if their five-word shingles, matched in text order, reach ``threshold`` (see
-    ``aligned``) and they meet: by one of their rarest shingles if neither has more than ``SHORT``, which
-    misses none, else by a sketch. Equal word sequences always link. A group is a connected
+    ``aligned``) and they meet: by a sketch or, if neither has more than ``SHORT`` shingles, by a rare one, which
+    misses none. Equal word sequences always link. A group is a connected
     component, ``class_id`` its smallest doc_id, and ``kept`` marks that document. A null or empty text and
     a row with a null doc_id link with nothing (class_id is the doc_id). Rows that share a doc_id are
     versions of one document. An empty table gives an empty result.
 
     Equal texts become one class before anything is compared. A bucket of texts with one sketch is never
-    expanded into its pairs: all compare with one member, a few times; a bucket that then still holds
-    many texts of different groups is split by their rarest shingles; and all that is left of a bucket is
-    compared in pairs across groups, if their lengths allow a link, however many they are.
+    expanded into its pairs: all compare with one member, twice. Texts that then still share a bucket with
+    texts of other groups go, whatever their number, through ``rare_buckets`` together with the short ones. It
+    loses no pair at the threshold and leaves out the pairs that only share a passage.
     """
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
-    made = stage(sketch_table(docs, common, sketches, sampled, threshold), "sketches")
-    classes = made.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.min("sketches").alias("sketches"), F.min("rare").alias("rare"))
-    classes = stage(classes, "classes")
-    copies = made.join(classes.select("h1", "h2", "n", "rep"), ["h1", "h2", "n"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    size = F.greatest(F.col("n") - (SHINGLE - 1), F.lit(1))
-    buckets = classes.select("rep", size.alias("n"), F.explode(F.concat("sketches", "rare")).alias("bucket"), "rare")
-    buckets = buckets.select("bucket", "rep", "n", F.array_contains("rare", F.col("bucket")).alias("shingle"))
+    made = stage(sketch_table(docs, sketches, sampled), "sketches")
+    classes = stage(made.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.min("sketches").alias("sketches")), "classes")
+    copies = made.join(classes.select("h1", "h2", "n", "rep"), ["h1", "h2", "n"]).select("doc_id", "rep")
+    copies = stage(copies.distinct(), "copies")
+    firsts = copies.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("last"))
+    versions = copies.join(firsts.where("rep < last").select("doc_id", F.col("rep").alias("b")), "doc_id")
+    versions = versions.select(F.col("rep").alias("a"), "b").where("a != b").distinct()
+
+    texts = classes.select("rep", F.greatest(F.col("n") - (SHINGLE - 1), F.lit(1)).alias("n"), F.col("rep").alias("root"), "sketches")
+    buckets = texts.select(F.explode("sketches").alias("bucket"), "rep", "n", "root", F.lit(True).alias("index"))
     several = _apart(buckets.groupBy("bucket").agg(*_members()).where("first < last"))
-    buckets = stage(buckets.join(several, "bucket", "left_semi"), "buckets")
-    words = stage(_words_of(docs, buckets.select(F.col("rep").alias("id")).distinct()), "words")
-
-    links = copies.where("a != b").distinct()
-    tested = None
-    own = F.when(F.col("shingle"), F.array("bucket")).otherwise(F.array().cast("array<bigint>"))
-    left = buckets.select("bucket", "rep", "n", F.col("rep").alias("root"), own.alias("own"))
-    for _ in range(HUB_ROUNDS):
-        # the member that everything in the bucket is compared with, unless it is in the same group already
-        hubs = left.groupBy("bucket").agg(F.min(F.struct("rep", "root", "n")).alias("hub"))
-        met = left.join(hubs, "bucket")
-        pairs = met.where("rep != hub.rep and root != hub.root").select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"), F.col("hub.n").alias("n_a"), F.col("n").alias("n_b"))
+    left = stage(buckets.join(several, "bucket", "left_semi"), "buckets")
+    wanted = left.select("rep").union(texts.where(F.col("n") <= SHORT).select("rep")).distinct()
+    words = stage(_words_of(docs, wanted.withColumnRenamed("rep", "id")), "words")
+
+    links, roots, tested = versions, None, None
+
+    def link(pairs: DataFrame) -> None:
+        """Test the pairs that were not tested yet, and add the links found."""
+        nonlocal links, roots, tested
         pairs = _long_enough(pairs, threshold).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -306,46 +263,50 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, sketches: int
         tested = pairs if tested is None else tested.union(pairs)
         links = stage(links.union(_verified(pairs, words, threshold)), "links")
         roots = stage(components(links), "roots").withColumnRenamed("node", "rep")
-        left = stage(_mixed(met.where("rep != hub.rep").select("bucket", "rep", "n", "own").join(roots, "rep", "left")), "left")
-        if left.isEmpty():
-            break
-        if left.where(F.col("members") > CROWDED).isEmpty():
-            continue
-        kept = left.where(F.col("members") <= CROWDED).drop("members")
-        split = _split(left.where(F.col("members") > CROWDED).drop("members"), words, common, threshold)
-        left = stage(_mixed(kept.unionByName(split).distinct()).drop("members"), "left")
-    left = left.select("bucket", "rep", "n", "root")
+
+    def gathered(left: DataFrame) -> DataFrame:
+        """Compare the members of each bucket with one of them; what then belongs to different groups stays."""
+        for _ in range(HUB_ROUNDS):
+            hubs = left.groupBy("bucket").agg(F.min(F.struct("rep", "root", "n")).alias("hub"))
+            met = left.join(hubs, "bucket").where("rep != hub.rep")
+            link(met.where("root != hub.root").select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"), F.col("hub.n").alias("n_a"), F.col("n").alias("n_b")))
+            left = stage(_mixed(met.drop("hub", "root").join(roots, "rep", "left")), "left")
+        return left
+
+    left = gathered(left).select("rep").union(texts.where(F.col("n") <= SHORT).select("rep")).distinct()
+    left = texts.select("rep", "n").join(left, "rep", "left_semi").join(roots, "rep", "left")
+    left = stage(left.select("rep", "n", F.coalesce("root", "rep").alias("root")), "open")
+    rows = shingle_rows(words.join(left.select(F.col("rep").alias("id")), "id", "left_semi"))
+    left = stage(_mixed(rare_buckets(rows, left, threshold)), "left")
+    left = gathered(left)
+    # the shorter text by its index shingles, the other one by any
     other = left.select("bucket", F.col("rep").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
-    pairs = left.withColumnsRenamed({"rep": "a", "n": "n_a"}).join(other, "bucket").where("a < b and root != root_b")
-    pairs = _long_enough(pairs, threshold).distinct()
-    if tested is not None:
-        pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    links = stage(links.union(_verified(pairs, words, threshold)), "links")
-    roots = components(links)
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    group = F.coalesce("root", "doc_id")
+    pairs = left.where("index").withColumnsRenamed({"rep": "a", "n": "n_a"}).join(other, "bucket").where("root != root_b and n_a <= n_b and a != b")
+    link(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n_a", "n_b"))
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(firsts.select("doc_id", "rep"), "doc_id", "left").join(roots, "rep", "left")
+    group = F.coalesce("root", "rep", "doc_id")
     return out.select("doc_id", group.alias("class_id"), F.coalesce(F.col("doc_id") == group, F.lit(True)).alias("kept"))
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """The rows of buckets whose members belong to different groups, with the number of members.
+    """The rows of buckets whose members belong to different groups.
 
     Of buckets with the same members one stays: shingles of one passage come together in all texts.
     """
-    rows = rows.select("bucket", "rep", "n", "own", F.coalesce("root", "rep").alias("root"))
+    rows = rows.select("bucket", "rep", "n", F.coalesce("root", "rep").alias("root"), "index")
     sizes = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), *_members())
-    return rows.join(_apart(sizes.where("low < high")), "bucket")
+    return rows.join(_apart(sizes.where("low < high")), "bucket", "left_semi")
 
 
 def _members() -> list[Column]:
     """What tells sets of members apart: their number, the first, the last and two hashes over all."""
-    marks = [F.bit_xor(F.xxhash64("rep", F.lit(seed))).alias(name) for seed, name in enumerate(("mark", "mark_2"))]
+    marks = [F.bit_xor(F.xxhash64("rep", "index", F.lit(seed))).alias(name) for seed, name in enumerate(("mark", "mark_2"))]
     return [F.count("*").alias("members"), F.min("rep").alias("first"), F.max("rep").alias("last"), *marks]
 
 
 def _apart(sizes: DataFrame) -> DataFrame:
-    """``bucket, members`` of one bucket of each set of members."""
-    return sizes.groupBy("members", "first", "last", "mark", "mark_2").agg(F.min("bucket").alias("bucket")).select("bucket", "members")
+    """``bucket`` of one bucket of each set of members."""
+    return sizes.groupBy("members", "first", "last", "mark", "mark_2").agg(F.min("bucket").alias("bucket")).select("bucket")
 
 
 def _long_enough(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -356,14 +317,15 @@ def _long_enough(pairs: DataFrame, threshold: float) -> DataFrame:
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that stay: one row of each group of near-duplicates, with the columns of ``docs``.
 
-    Rows with a null doc_id stay. Of several versions of the kept document, the first by text stays.
+    Rows with a null doc_id stay. Of several versions of the kept document, the first by text stays, a null
+    text last.
     """
     kept = near_duplicates(docs, threshold).where("kept and doc_id is not null").select("doc_id").distinct()
     stays = docs.join(kept, "doc_id", "left_semi")
     # the join has dealt the rows by doc_id already, so this takes no further shuffle
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    first = stays.groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("_row"))
-    first = first.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"_row.{c}").alias(c) for c in docs.columns])
+    first = stays.groupBy("doc_id").agg(F.min(F.struct(F.col("text").isNull().alias("_gone"), F.struct("text", *others).alias("_own"))).alias("_row"))
+    first = first.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row._own")[c].alias(c) for c in docs.columns])
     return first.union(docs.where("doc_id is null"))
 
 

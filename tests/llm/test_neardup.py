@@ -115,18 +115,41 @@ def test_short_pairs_always_meet(spark, documents):
     assert got == {i: i - 1 if (i - 1, i) in linked else i for i, _ in rows}
 
 
-def test_the_rarest_shingles_of_near_copies_meet_in_any_order():
+def test_near_copies_meet_in_a_rare_bucket_by_the_index_of_the_shorter(spark):
     r = np.random.default_rng(3)
-    for seed in range(400):
+    texts = {}
+    for seed in range(200):
         n = 5 + seed % 60
-        a = hashes(words(seed, n, 8 if seed % 3 == 0 else 10**6))
-        b = np.delete(a, r.integers(n)) if seed % 2 else np.concatenate([a, a[: n // 6]])
-        if neardup.aligned(a, b) >= 0.8:
-            marks = np.unique(neardup.labelled(neardup.shingles(a)))[::2]
-            common = marks, r.integers(1, 9, len(marks))
-            for more in range(2):
-                x, y = (neardup.rarest(neardup.shingles(t), common, 0.8, more) for t in (a, b))
-                assert len(np.intersect1d(x, y)) > more or min(len(x), len(y)) <= more
+        a = words(seed, n, 8 if seed % 3 == 0 else 60)
+        at = int(r.integers(n))
+        texts[2 * seed], texts[2 * seed + 1] = a, [*a[:at], *a[at + 1 :]] if seed % 2 else [*a, *a[: n // 6]]
+    x = {i: (hashes(t) >> np.uint64(32)).astype("<u4") for i, t in texts.items()}
+    rows = neardup.shingle_rows(spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in x.items()], "id long, words binary"))
+    sizes = {i: max(len(v) - 4, 1) for i, v in x.items()}
+    found = neardup.rare_buckets(rows, spark.createDataFrame([(i, n, i) for i, n in sizes.items()], "rep long, n long, root long"), 0.8)
+    every, index = {}, {}
+    for b in found.collect():
+        every.setdefault(b.rep, set()).add(b.bucket)
+        index.setdefault(b.rep, set()).update([b.bucket] if b.index else [])
+    linked = [(i, j) for i in x for j in range(i) if neardup.aligned(x[i], x[j]) >= 0.8]
+    assert len(linked) > 100
+    for pair in linked:
+        short, long = sorted(pair, key=sizes.get)
+        assert index[short] & every[long]
+
+
+def test_texts_that_only_share_a_passage_are_in_no_rare_bucket(spark):
+    passage = words(40, 60, 10**6)
+    x = {i: hashes([*passage, *words(6000 + i, 40, 10**6)]) >> np.uint64(32) for i in range(300)}
+    rows = neardup.shingle_rows(spark.createDataFrame([(i, bytearray(v.astype("<u4").tobytes())) for i, v in x.items()], "id long, words binary"))
+    texts = spark.createDataFrame([(i, len(v) - 4, i) for i, v in x.items()], "rep long, n long, root long")
+    assert neardup.rare_buckets(rows, texts, 0.8).count() == 0
+
+
+def test_one_of_each_prefers_a_text_to_none(documents):
+    rows = [(1, None), (1, "the text of this document"), (2, None)]
+    got = {r.doc_id: r.text for r in neardup.one_of_each(documents(rows)).collect()}
+    assert got == {1: "the text of this document", 2: None}
 
 
 def test_a_crowded_bucket_keeps_all_its_pairs(spark, documents):
@@ -140,7 +163,7 @@ def test_a_crowded_bucket_keeps_all_its_pairs(spark, documents):
         text = [*passage, *words(9000 + k, 130, 10**6)]
         rows += [(1000 + 2 * k, " ".join(text)), (1001 + 2 * k, " ".join([*text[:-12], *words(9500 + k, 12, 10**6)]))]
     sketches = {neardup.order_sketches(neardup.shingles(hashes(t.split())), 1, 1)[0] for _, t in rows}
-    assert len(sketches) == 1 and len(rows) > neardup.CROWDED
+    assert len(sketches) == 1 and len(rows) > 100
     got = {r.doc_id: r.class_id for r in neardup.near_duplicates(documents(rows), sketches=1, sampled=1).collect()}
     assert got == {i: i - 1 if i >= 1000 and i % 2 else i for i, _ in rows}
 
