@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions import similarity_sql, weighted_score_sql
-from tallyline.operators.joins import key_entries
+from tallyline.operators.joins import filled_sql, key_entries
 from tallyline.operators.skew import frequent_items, hot_items, hot_keys, names_sql, skew_join
 
 # Distinct right-hand names held in one array row.
@@ -104,20 +105,30 @@ def score_pairs(pairs: DataFrame, spec: MatchSpec, compare_blanks: bool = False)
     )
 
 
+def _part_scores(spec: MatchSpec, score: Callable[[str], str | None]) -> list[str]:
+    """SQL for the part scores of a pair, from that of a name column (None where it is not on both sides)."""
+    scores = []
+    for d in spec.dimensions:
+        part = score(d.column) or "CAST(NULL AS DOUBLE)"
+        if d.exact == spec.levels[0] and d.exact != d.column:
+            part = f"CASE WHEN _rank = 1 THEN 1.0D ELSE {part} END"
+        scores.append(part)
+    return scores
+
+
 def _best_of(spec: MatchSpec, names: Sequence[str], members: str) -> str:
     """SQL for the best of an array of right rows, as a struct whose smallest is best.
 
     Part scores are computed in a first pass over the array, so that each similarity is worked out once.
     """
-    scores = []
-    for d in spec.dimensions:
-        score = "CAST(NULL AS DOUBLE)"
-        if d.column in names:
-            a, b = f"_n_{d.column}", f"x._n_{d.column}"
-            score = f"CASE WHEN {a} = '' OR {b} = '' THEN NULL WHEN {a} = {b} THEN 1.0D ELSE {similarity_sql(a, b)} END"
-        if d.exact == spec.levels[0] and d.exact != d.column:
-            score = f"CASE WHEN _rank = 1 THEN 1.0D ELSE {score} END"
-        scores.append(f"{score} AS {d.name}_match_score")
+
+    def score(column: str) -> str | None:
+        if column not in names:
+            return None
+        a, b = f"_n_{column}", f"x._n_{column}"
+        return f"CASE WHEN {a} = '' OR {b} = '' THEN NULL WHEN {a} = {b} THEN 1.0D ELSE {similarity_sql(a, b)} END"
+
+    scores = [f"{part} AS {d.name}_match_score" for d, part in zip(spec.dimensions, _part_scores(spec, score))]
     parts = [f"y.parts.{d.name}_match_score" for d in spec.dimensions]
     confidence = weighted_score_sql(list(zip(parts, [d.weight for d in spec.dimensions])))
     scored = f"transform({members}, x -> struct(struct({', '.join(scores)}) AS parts, x._right AS _right))"
@@ -127,10 +138,44 @@ def _best_of(spec: MatchSpec, names: Sequence[str], members: str) -> str:
     )
 
 
+def _nameless_wins(spec: MatchSpec, names: Sequence[str]) -> str:
+    """SQL: no right row with another name can beat one without a name, whatever the names of the key.
+
+    A different name is one edit away at least, so its similarity is at most 1 - 1 / (length + 1). With more
+    than one name column nothing is said.
+    """
+    if len(names) != 1:
+        return "false"
+    weights = [d.weight for d in spec.dimensions]
+    nearest = f"round(1 - 1 / (length(_n_{names[0]}) + 1), 4)"
+    confidences = [
+        weighted_score_sql(list(zip(_part_scores(spec, score), weights)))
+        for score in (lambda c: nearest if c in names else None, lambda c: None)
+    ]
+    return f"(_n_{names[0]} <> '' AND ({confidences[0]}) < ({confidences[1]}))"
+
+
 def _as_it_is(df: DataFrame) -> DataFrame:
     return df
 
 
+def _at_equal_names(rows: DataFrame, there: DataFrame, n_cols: Sequence[str], named: str, crowded: DataFrame | bool) -> DataFrame:
+    """``rows`` with ``_equal``, the first right row of the same key and names; rows without a key or name have none."""
+    equals = there.where(named)
+    on = ["_rank", "_value", *n_cols]
+    if crowded is not False:
+        equals = equals.groupBy(*on).agg(F.expr("min(_right) AS _equal"))
+        return skew_join(rows, equals, on, "left", hot=crowded, hot_on=on[:2])
+    # rows that ask for nothing are spread; the right side is grouped as the join needs it and shuffled once
+    free = f"CASE WHEN _value IS NOT NULL AND {named} THEN 0L ELSE pmod(xxhash64({names_sql(rows.columns)}), 65536L) + 1 END AS _spread"
+    equals = equals.selectExpr("*", "pmod(xxhash64(_value), 1L) AS _spread").groupBy(*on[1:], "_spread").agg(F.expr("min(_right) AS _equal"))
+    return rows.selectExpr("*", free).join(equals, [*on[1:], "_spread"], "left").drop("_spread")
+
+
+# How the key of a level was met: by an equal name, by a row without a name that no name can beat, by others.
+EQUAL, NAMELESS, OPEN = range(3)
+
+
 def best_match(
     left: DataFrame,
     right: DataFrame,
@@ -139,18 +184,21 @@ def best_match(
     right_order: Sequence[Column],
     block_size: int = BLOCK_SIZE,
     stage: Callable[[DataFrame], DataFrame] | None = None,
+    shown: tuple[Sequence[str], Sequence[str]] | None = None,
 ) -> DataFrame:
     """Per ``left_id`` the best candidate: level, then confidence, then parts scored, then ``right_order``.
 
-    ``right_order`` lists expressions over the right columns, the smaller being preferred. Pass only
-    the columns wanted in the result: they come out as ``l_*`` and ``r_*``.
-
-    1. Right rows with the same key and names score alike, so one of them is kept per key.
-    2. One hash join finds for each left row its lowest level and, at that level, a right row with
-       the very same names. Such a pair scores 1.0 in every part and cannot be beaten.
-    3. Only left rows without one are compared with the names of their key. Those names lie in
-       arrays of about ``block_size``, so a crowded key is spread over many rows and tasks and no
-       pair is ever a row. Equal probes are compared once.
+    ``right_order`` lists expressions over the right columns, the smaller being preferred. ``shown`` names the
+    left and right columns wanted in the result, by default all; they come out as ``l_*`` and ``r_*``, and
+    only they are carried along.
+
+    1. Levels are gone through in turn, with the left rows that no level before has met. Right rows with the
+       same key and names score alike, so one of them is kept per key.
+    2. A hash join finds a right row with the very same names. Such a pair scores 1.0 in every part and
+       cannot be beaten. Left rows without one learn whether their key is there and how often.
+    3. Only these are compared with the names of their key. Those names lie in arrays of about ``block_size``,
+       so a crowded key is spread over many rows and tasks and no pair is ever a row. Equal probes are compared
+       once, and none where a row without a name, which is judged by the other parts alone, wins whatever the names.
     4. Ids that no key finds are compared by the fuzzy rule, if both sides have its columns: names that are
        similar in all of them meet on rare grams (``similar_tuples``), so no key is shared and no pair missed.
 
@@ -161,56 +209,72 @@ def best_match(
     names = list(dict.fromkeys(d.column for d in spec.dimensions if d.column in both))
     levels = [c for c in spec.levels if c in both]
     ranks = [spec.levels.index(c) + 1 for c in levels]
-    l_cols, r_cols = [f"l_{c}" for c in left.columns], [f"r_{c}" for c in right.columns]
+    l_shown, r_shown = shown or (left.columns, right.columns)
+    l_shown = list(dict.fromkeys([left_id, *l_shown]))
+    l_cols, r_cols = [f"l_{c}" for c in l_shown], [f"r_{c}" for c in r_shown]
     n_cols = [f"_n_{c}" for c in names]
     key = ["_rank", "_value"]
+    staging = stage is not None
+    stage = stage or _as_it_is
+
+    def with_names(df: DataFrame, prefix: str) -> DataFrame:
+        """Columns prefixed, and the names as text."""
+        prefixed = df.toDF(*[c if c == "_order" else prefix + c for c in df.columns])
+        return prefixed.selectExpr("*", *[f"coalesce(CAST(`{prefix}{c}` AS STRING), '') AS _n_{c}" for c in names])
 
     def entries(df: DataFrame, prefix: str) -> DataFrame:
-        """One row per filled key, with the names as text."""
-        as_text = [f"coalesce(CAST(`{prefix}{c}` AS STRING), '') AS _n_{c}" for c in names]
-        return key_entries(df.selectExpr("*", *as_text), [prefix + c for c in levels], ranks)
+        return key_entries(df, [prefix + c for c in levels], ranks)
 
     named = " AND ".join(f"{c} <> ''" for c in n_cols) or "true"
-    # JSON never equals the empty string that stands for "whatever the names"
-    all_names = f"to_json(struct({', '.join(n_cols)}))" if names else "'{}'"
-
-    order = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(right_order)]).alias("_order")
-    rights = entries(right.select("*", order).toDF(*r_cols, "_order"), "r_")
-    lefts = entries(left.toDF(*l_cols), "l_")
+    nameless = " AND ".join(f"{c} = ''" for c in n_cols) or "false"
+    order = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(right_order or [F.lit(0)])]).alias("_order")
+    lefts = with_names(left, "l_").select(*dict.fromkeys([*l_cols, *[f"l_{c}" for c in levels]]), *n_cols)
+    rights = with_names(right.select("*", order), "r_").selectExpr(
+        *[f"`r_{c}`" for c in levels], *n_cols, f"struct(_order, {names_sql(r_cols)}) AS _right"
+    )
     # keys crowded on either side, found in one pass each and used by all the joins below
-    crowded_left, crowded_right = hot_keys(lefts, key), hot_keys(rights, key)
-    if stage is None:
-        stage = _as_it_is
-    else:  # stored lists are read by every join below, and where none is crowded no join has to part rows
+    crowded_left, crowded_right = hot_keys(entries(lefts, "l_"), key), hot_keys(entries(rights, "r_"), key)
+    if staging:  # stored lists are read by every join below, and where none is crowded no join has to part rows
         crowded_left, crowded_right = (False if x.isEmpty() else x for x in (stage(crowded_left), stage(crowded_right)))
 
-    # 1. one right row per level, key and names
-    representatives = stage(
-        rights.groupBy(*key, *n_cols).agg(F.expr(f"min(struct(_order, {names_sql(r_cols)})) AS _right"))
-    )
-
-    # 2. lowest level per left row, with an equal right row where there is one
-    equals = representatives.where(named).selectExpr(*key, f"{all_names} AS _name", "_right")
-    sizes = representatives.groupBy(*key).agg(F.expr("count(_right) AS _size")).selectExpr(*key, "'' AS _name", "_size")
-    targets = equals.unionByName(sizes, allowMissingColumns=True)
-    probes = lefts.selectExpr("*", f"explode(CASE WHEN {named} THEN array({all_names}, '') ELSE array('') END) AS _name")
-    nearest = stage(
-        skew_join(probes, targets, [*key, "_name"], hot=crowded_left, hot_on=key)
-        .groupBy(*l_cols, *n_cols)
-        .agg(F.expr("min(struct(_rank, _right IS NULL AS _open, _value, _size, _right)) AS _hit"))
-        .selectExpr(*l_cols, *n_cols, "_hit.*")
-    )
-    itself = f"array(struct({', '.join([*n_cols, '_right'])}))"
-    settled = nearest.where("NOT _open").selectExpr(*l_cols, "_rank", f"{_best_of(spec, names, itself)} AS _best")
+    # 1. and 2. level by level
+    rows, done = lefts, []
+    for rank, level in zip(ranks, levels):
+        before = "_hit" in rows.columns
+        open_yet = filled_sql(f"l_{level}") + (" AND _hit IS NULL" if before else "")
+        asking = rows.selectExpr("*", f"{rank} AS _rank", f"CASE WHEN {open_yet} THEN CAST(`l_{level}` AS STRING) END AS _value")
+        there = rights.where(filled_sql(f"r_{level}")).selectExpr(f"{rank} AS _rank", f"CAST(`r_{level}` AS STRING) AS _value", *n_cols, "_right")
+        if staging and done:  # only a part of the left rows is left, and of the right rows those of their keys
+            there = stage(skew_join(there, asking.where("_value IS NOT NULL").select(*key).distinct(), key, "left_semi", hot=crowded_right))
+        met = _at_equal_names(asking, there, n_cols, named, crowded_left).withColumn("_value", F.expr("CASE WHEN _equal IS NULL THEN _value END"))
+        sizes = there.groupBy(*key).agg(F.count("*").alias("_size"), F.expr(f"min(CASE WHEN {nameless} THEN _right END) AS _nameless"))
+        met = skew_join(met, sizes, key, "left", hot=crowded_left)
+        state = f"CASE WHEN _equal IS NOT NULL THEN {EQUAL} WHEN _nameless IS NOT NULL AND {_nameless_wins(spec, names)} THEN {NAMELESS} ELSE {OPEN} END"
+        hit = f"CASE WHEN _equal IS NOT NULL OR _size IS NOT NULL THEN struct(_rank, _value, _size, {state} AS _state, coalesce(_equal, _nameless) AS _right) END"
+        rows = met.selectExpr(*[f"`{c}`" for c in lefts.columns], f"{f'coalesce(_hit, {hit})' if before else hit} AS _hit")
+        if staging:
+            rows = stage(rows)
+            done.append(rows.where("_hit IS NOT NULL"))
+            rows = rows.where("_hit IS NULL").drop("_hit")
+            if rows.isEmpty():
+                break
+    if not staging:
+        done.append(rows.where("_hit IS NOT NULL"))
+    nearest = reduce(DataFrame.unionByName, done).selectExpr(*[f"`{c}`" for c in l_cols], *n_cols, "_hit.*")
+    met_names = [f"CASE WHEN _state = {EQUAL} THEN {c} ELSE '' END AS {c}" for c in n_cols]
+    itself = f"array(struct({', '.join([*met_names, '_right'])}))"
+    settled = nearest.where(f"_state < {OPEN}").selectExpr(*[f"`{c}`" for c in l_cols], "_rank", f"{_best_of(spec, names, itself)} AS _best")
     every = settled
 
     # 3. the others against the names of their key, a block of names at a time
-    if names:
-        open_rows = nearest.where("_open")
+    open_rows = nearest.where(f"_state = {OPEN}")
+    if names and not (staging and open_rows.isEmpty()):
         open_probes = open_rows.select(*key, "_size", *n_cols).distinct()
-        open_keys = open_probes.select(*key, "_size").distinct()
+        open_keys = stage(open_probes.select(*key, "_size").distinct())
         blocks = (
-            skew_join(representatives, open_keys, key, hot=crowded_right)
+            skew_join(entries(rights, "r_").select(*key, *n_cols, "_right"), open_keys, key, hot=crowded_right)
+            .groupBy(*key, "_size", *n_cols)
+            .agg(F.expr("min(_right) AS _right"))
             .selectExpr("*", f"pmod(xxhash64({', '.join(n_cols)}), ceil(_size / {block_size})) AS _block")
             .groupBy(*key, "_block")
             .agg(F.expr(f"collect_list(struct({', '.join([*n_cols, '_right'])})) AS _members"))
@@ -231,19 +295,16 @@ def best_match(
     fuzzy = [c for c, _ in spec.fuzzy]
     if fuzzy and all(c in names for c in fuzzy):
         level, likes = len(spec.levels) + 1, [f"_n_{c}" for c in fuzzy]
-        as_text = [f"coalesce(CAST(`{{}}{c}` AS STRING), '') AS _n_{c}" for c in names]
         every = stage(every)
-        lost = left.toDF(*l_cols).join(every.select(f"l_{left_id}"), f"l_{left_id}", "left_anti")
-        lost = stage(lost.selectExpr(*[f"`{c}`" for c in l_cols], *[x.format("l_") for x in as_text]))
-        shown = right.select("*", order).toDF(*r_cols, "_order").selectExpr("*", *[x.format("r_") for x in as_text])
-        shown = stage(shown.groupBy(*n_cols).agg(F.expr(f"min(struct(_order, {names_sql(r_cols)})) AS _right")))
-        met = similar_tuples(lost.select(*likes), shown.select(*likes), [least for _, least in spec.fuzzy])
+        lost = stage(lefts.select(*l_cols, *n_cols).join(every.select(f"l_{left_id}"), f"l_{left_id}", "left_anti"))
+        kept = stage(rights.groupBy(*n_cols).agg(F.expr("min(_right) AS _right")))
+        met = similar_tuples(lost.select(*likes), kept.select(*likes), [least for _, least in spec.fuzzy])
         met = stage(met.select(*[f"l_{i}" for i in range(len(likes))], *[f"r_{i}" for i in range(len(likes))]))
-        shown = shown.select(*[F.col(c).alias(f"r_{i}") for i, c in enumerate(likes)], F.struct(*n_cols, "_right").alias("_member"))
+        kept = kept.select(*[F.col(c).alias(f"r_{i}") for i, c in enumerate(likes)], F.struct(*n_cols, "_right").alias("_member"))
         asked = lost.select(*n_cols).distinct().select("*", *[F.col(c).alias(f"l_{i}") for i, c in enumerate(likes)])
         on = [f"l_{i}" for i in range(len(likes))]
         close = skew_join(asked, met, on, hot_right=True)
-        close = skew_join(close, shown, [f"r_{i}" for i in range(len(likes))], hot_right=True)
+        close = skew_join(close, kept, [f"r_{i}" for i in range(len(likes))], hot_right=True)
         close = close.selectExpr(*n_cols, f"{level} AS _rank", f"{_best_of(spec, names, 'array(_member)')} AS _best")
         close = close.groupBy(*n_cols).agg(F.expr("min(struct(_rank, _best)) AS _hit")).select(*n_cols, "_hit.*")
         found = skew_join(lost, close, n_cols).select(*l_cols, "_rank", "_best")

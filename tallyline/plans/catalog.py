@@ -686,14 +686,20 @@ def _once(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame
 
 def _matches(spark: SparkSession, sf: str) -> DataFrame:
     def build() -> DataFrame:
-        return trials.study_contract_matches(staged(study_feed(spark, sf)), staged(contract_feed(spark, sf)), stage=staged)
+        studies = study_feed(spark, sf).select("study_id", "study_name", "protocol_no", "sponsor_external_id")
+        contracts = contract_feed(spark, sf).select("contract_id", "contract_name", "study_name", "protocol_no", "sponsor_external_id", "batch_date")
+        return trials.study_contract_matches(staged(studies), staged(contracts), stage=staged)
 
     return _once(spark, sf, "matches", build)
 
 
 def _crosswalk(spark: SparkSession, sf: str) -> DataFrame:
     """The stored crosswalk, as the steps after it read it."""
-    return _once(spark, sf, "crosswalk", lambda: trials.attach_invoices(_matches(spark, sf), staged(invoice_feed(spark, sf))))
+    def build() -> DataFrame:
+        billed = invoice_feed(spark, sf).select("invoice_id", "invoice_number", "contract_name", "protocol_no", "sponsor_external_id")
+        return trials.attach_invoices(_matches(spark, sf), staged(billed))
+
+    return _once(spark, sf, "crosswalk", build)
 
 
 @query

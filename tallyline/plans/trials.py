@@ -231,9 +231,10 @@ def study_contract_matches(studies: DataFrame, contracts: DataFrame, stage: Stag
             "sponsor_external_id": "sponsor_external_id_std",
         },
     ).drop("study_name", "protocol_no")
-    # newest batch first; rows alike in everything shown are one and the same
-    order = [F.col(c) for c in right.columns if c == "recency"] + [F.col("contract_id"), F.col("contract_name")]
-    best = best_match(left, right, MATCHING, "study_id", order, stage=None if stage is lazily else stage)
+    # newest batch first, then by the columns shown; rows alike in all of them are one and the same
+    order = [F.col(c) for c in right.columns if c == "recency"]
+    shown = (["study_id", "study_name", "protocol_no"], ["contract_id", "contract_name", "sponsor_external_id"])
+    best = best_match(left, right, MATCHING, "study_id", order, stage=None if stage is lazily else stage, shown=shown)
     return best.select(
         F.col("l_study_id").alias("study_id"),
         F.col("l_study_name").alias("study_name"),
@@ -385,11 +386,18 @@ def contract_master(contracts: DataFrame, crosswalk: DataFrame) -> DataFrame:
     )
 
 
-def invoice_header(invoices: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    """Invoices with the contract and project found by invoice id, else by protocol."""
+# What an invoice header takes from its invoice.
+_BILLED = (
+    "invoice_id", "invoice_number", "protocol_no", "sponsor_external_id_std", "invoice_date_std",
+    "payment_status", "invoice_amount_std", "paid_amount_std", "outstanding_amount_std",
+)
+
+
+def invoice_header(invoices: DataFrame, crosswalk: DataFrame, stage: Stage = lazily) -> DataFrame:
+    """Invoices with the contract and project found by invoice id, else by protocol. ``stage`` stores the invoices, which are read twice."""
     order = newest_first(invoices.columns) or [F.col("invoice_number")]
     linked = priority_join(
-        top_per_key(invoices, ["invoice_id"], order),
+        stage(top_per_key(invoices, ["invoice_id"], order).select(*_BILLED)),
         crosswalk,
         ["invoice_id", "protocol_no"],
         _link_order(crosswalk, ["study_id", "contract_id"]),

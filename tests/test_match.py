@@ -202,3 +202,30 @@ def test_sponsors_found_by_name(spark, raw):
     )
     rows = {r.source_sponsor_external_id: (r.master_sponsor_external_id, r.match_level, r.sponsor_match_score) for r in trials.sponsor_crosswalk(raw["sponsors"], [feed]).collect()}
     assert rows == {"X1": ("SPN-001", 5, 0.9286), "SPN 002": ("SPN-002", 1, 1.0), "": ("SPN-004", 5, 1.0)}
+
+
+def test_a_right_row_without_a_name_saves_comparing_the_names_of_its_key(spark):
+    """It scores by its key alone, which no unequal name can beat, so no left row is left to be compared."""
+    left = spark.createDataFrame([(f"L{i}", "s", f"STUDY {i}", f"extra {i}") for i in range(12)], "lid string, sp string, study string, more string")
+    rows = [(f"R{i}", "s", f"STDY {i}") for i in range(12)] + [("R3", "s", "STUDY 3"), ("none-b", "s", ""), ("none-a", "s", None)]
+    right = spark.createDataFrame(rows, "rid string, sp string, study string")
+    spec = MatchSpec(["sp", "study"], [Dimension("sponsor", "sname", 0.45, "sp"), Dimension("study", "study", 0.25)])
+    stored = []
+
+    def stage(df):
+        stored.append(sources.staged(df))
+        return stored[-1]
+
+    got = best_match(left, right, spec, "lid", [F.col("rid")], stage=stage, shown=(["lid"], ["rid"])).collect()
+    assert {(r.l_lid, r.r_rid, r.scored_dims) for r in got} == {(f"L{i}", "none-a" if i != 3 else "R3", 1 if i != 3 else 2) for i in range(12)}
+    assert "l_more" not in got[0].asDict() and "r_study" not in got[0].asDict()
+    states = [r._state for df in stored if "_hit" in df.columns for r in df.select("_hit._state").collect()]
+    assert states and set(states) == {0, 1}
+
+
+def test_rows_that_a_level_meets_ask_no_later_level(spark):
+    left = spark.createDataFrame([("A", "s1", "p1", "X 1"), ("B", None, "p2", "X 2"), ("C", "s9", "p9", "X 3"), ("D", "", None, "X 4")], "lid string, sp string, pr string, study string")
+    right = spark.createDataFrame([("1", "s1", "p2", "Y"), ("2", "s2", "p1", "X 1"), ("3", "s3", "p3", "X 3"), ("3", "s3", "p3", "X 3")], "rid string, sp string, pr string, study string")
+    for stage in (None, sources.staged):
+        got = best_match(left, right, SPEC, "lid", [F.col("rid")], stage=stage)
+        assert sorted((r.l_lid, r.r_rid, r.match_level) for r in got.collect()) == [("A", "1", 1), ("B", "1", 2), ("C", "3", 3)]
