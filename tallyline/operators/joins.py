@@ -56,12 +56,13 @@ def any_key_join(
         rights = rights.where(filled_sql(f"r_{c}")).withColumn(f"_w_{c}", F.col(f"r_{c}"))
     on = ["_rank", "_value", *[f"_w_{c}" for c in within]]
     lefts, rights = key_entries(lefts, [f"l_{k}" for k in keys]), key_entries(rights, [f"r_{k}" for k in keys])
-    first = " ".join(
-        f"WHEN {filled_sql(f'l_{k}')} AND CAST(`l_{k}` AS STRING) = CAST(`r_{k}` AS STRING) THEN {i}"
-        for i, k in enumerate(keys)
+    # the last key is not looked at, so that neither side carries it along for this
+    earlier = " OR ".join(
+        f"(_rank > {i} AND coalesce({filled_sql(f'l_{k}')} AND CAST(`l_{k}` AS STRING) = CAST(`r_{k}` AS STRING), false))"
+        for i, k in enumerate(keys[:-1])
     )
     crowded = hot_keys(lefts, on)
-    pairs = skew_join(lefts, rights, on, hot=crowded, hot_right=True).where(f"CASE {first} END = _rank").select(*l_names, *r_names)
+    pairs = skew_join(lefts, rights, on, hot=crowded, hot_right=True).where(f"NOT ({earlier or 'false'})").select(*l_names, *r_names)
     if how == "inner":
         return pairs
     if left_id is None:

@@ -137,3 +137,13 @@ def test_link_on_keys_renames_shared_columns(spark):
     got = link_on_keys(studies, contracts, ["p", "s"])
     assert got.columns == ["p", "s", "name", "name_right"]
     assert sorted(map(str, (r.name_right for r in got.collect()))) == ["None", "c1", "c2"]
+
+
+def test_the_last_key_is_not_carried_through_the_join(spark):
+    """A pair that meets on the last key is judged by the keys before it; the last one is needed only where it is asked for."""
+    left = spark.createDataFrame([(1, "a", "x"), (2, "b", None), (3, None, "y")], "id int, code string, name string")
+    right = spark.createDataFrame([(10, "a", "x"), (20, None, "y"), (30, "b", "x")], "rid int, code string, name string")
+    pairs = any_key_join(left, right, ["code", "name"]).select("l_id", "r_rid")
+    assert sorted(map(tuple, pairs.collect())) == [(1, 10), (1, 30), (2, 30), (3, 20)]
+    joined = [x for x in pairs._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter NOT" in x or "Join Inner" in x]
+    assert joined and not any("r_name" in x for x in joined)
