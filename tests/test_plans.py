@@ -88,3 +88,13 @@ def test_no_python_in_any_plan(spark):
     for name in ("detect_changes", "recon_report", "sponsor_crosswalk", "canonical_projects", "rule_check_counts"):
         plan = plan_of(entry.queries()[name](spark, SF))
         assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
+
+
+def test_checks_of_one_entity_conform_it_once(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(catalog, "staged", lambda df: stored.append(df) or df)
+    catalog.rule_check_counts(spark, SF)
+    assert [df.columns for df in stored] == [
+        ["protocol_no_std", "sponsor_external_id_std"],
+        ["invoice_amount_std", "paid_amount_std", "outstanding_amount_std"],
+    ]
