@@ -167,3 +167,23 @@ def test_audit_summary(header):
     }
     assert {r.audit_timestamp for r in audit.collect()} == {AT}
     assert audit.select(F.count("*")).first()[0] == 3
+
+
+def test_only_what_a_header_takes_from_an_invoice_is_stored(spark):
+    row = ("INV-1", "1001", "P-1", "SPN1", "2026-01-01", "Unpaid", 100.0, 0.0, 100.0, "2026-01-01", "hash", "Acme")
+    invoices = spark.createDataFrame(
+        [row],
+        "invoice_id string, invoice_number string, protocol_no string, sponsor_external_id_std string, invoice_date_std string, "
+        "payment_status string, invoice_amount_std double, paid_amount_std double, outstanding_amount_std double, "
+        "batch_date string, record_hash string, contract_name string",
+    )
+    crosswalk = spark.createDataFrame([("INV-1", "ST-1", "C-1", "P-1")], "invoice_id string, study_id string, contract_id string, protocol_no string")
+    stored = []
+
+    def stage(df):
+        stored.append(sources.staged(df))
+        return stored[-1]
+
+    header = trials.invoice_header(invoices, crosswalk, stage).collect()
+    assert [(r.invoice_external_id, r.contract_external_id, r.amount_due) for r in header] == [("INV-1", "C-1", 100.0)]
+    assert len(stored) == 1 and not {"record_hash", "batch_date", "contract_name"} & set(stored[0].columns)
