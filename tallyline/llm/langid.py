@@ -23,6 +23,8 @@ SAMPLE_DOCS = 3000
 CALIBRATION = 10
 #: Texts scored together, in characters; a worker's memory is about 100 bytes for each.
 CHARS_AT_ONCE = 1_000_000
+#: The same for the calibration texts, which the driver scores beside all else that it holds.
+CALIBRATED_AT_ONCE = 50_000
 UNKNOWN = "und"
 #: Short texts vary more: the rejection limit is wider by this over the root of the number of symbols.
 SHORT_SLACK = 8.0
@@ -213,7 +215,8 @@ class Model:
         """
         if not texts or not self.languages:
             return
-        h, n = self.cross_entropy(texts)
+        parts = [self.cross_entropy(texts[a:b]) for a, b in _groups(list(map(len, texts)), CALIBRATED_AT_ONCE)]
+        h, n = (np.concatenate(x) for x in zip(*parts, strict=True))
         y = np.array([self.languages.index(x) for x in truth])
         used = n > 0
         h, y = h[used], y[used]

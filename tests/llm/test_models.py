@@ -1,6 +1,7 @@
 """Language ID, quality and language-model scoring."""
 
 import collections
+import copy
 import math
 import random
 
@@ -57,6 +58,21 @@ def test_stored_tables_equal_the_plain_recursion(documents, corpus):
     assert (model.tables[4].find(odd[~np.isin(odd, keys)])[:50] >= -1).all()
 
 
+def test_calibration_texts_are_scored_in_portions(model, corpus, monkeypatch):
+    texts, truth = [r[1] for r in corpus[320:]], [r[2] for r in corpus[320:]]
+    fitted, portions = [], []
+    score = langid.Model.cross_entropy
+    monkeypatch.setattr(langid.Model, "cross_entropy", lambda self, x: portions.append(sum(map(len, x))) or score(self, x))
+    for most in (10**9, 2000):
+        monkeypatch.setattr(langid, "CALIBRATED_AT_ONCE", most, raising=False)
+        other = copy.copy(model)
+        other.limits = model.limits.copy()
+        other.calibrate(texts, truth)
+        fitted.append((other.temperature, other.limits.tolist()))
+    assert fitted[0] == fitted[1]
+    assert len(portions) > 3 and max(portions[1:]) <= max(2000, max(map(len, texts)))
+
+
 def test_texts_without_letters_and_foreign_texts(model):
     names, score, rejected = model.predict([None, "", "123 !?", "\U0001f600\U0001f600", "ba \0 de", "\U00010330" * 3])
     assert names[:4] == ["und"] * 4 and (score[:4] == 0).all() and rejected[:4].all()
