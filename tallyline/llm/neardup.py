@@ -27,6 +27,9 @@ SHORT = 100
 #: Rounds in which everything in a bucket is compared with one of its members, which gathers the groups before
 #: members of different groups are compared.
 HUB_ROUNDS = 2
+#: Longs of a text's parities, which bound from below how many shingles two texts do not share. They tell texts of
+#: up to about 1000 shingles apart; longer ones pass.
+PARITIES = 8
 TEXT_AT_ONCE = 1 << 21
 U = np.uint64
 #: Odd multipliers, one per sketch.
@@ -184,6 +187,28 @@ def shingle_rows(words: DataFrame) -> DataFrame:
     return words.select("id", "words").mapInArrow(run, "rep long, key long")
 
 
+def parity_table(words: DataFrame) -> DataFrame:
+    """``rep, parities`` of the texts ``id, words``: of each of 64 ``PARITIES`` classes of labelled shingles, whether
+    their number is odd. Where the parities of two texts differ, one has a shingle of this class that the other lacks.
+    """
+    bits = 64 * PARITIES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = np.zeros((batch.num_rows, bits), np.uint8)
+            for i, v in enumerate(batch.column("words")):
+                found = labelled(shingles(np.frombuffer(v.as_buffer(), "<u4")))
+                made[i] = np.bincount((found >> U(32)).astype(np.int64) % bits, minlength=bits) & 1
+            yield pa.RecordBatch.from_arrays([batch.column("id"), _lists(list(np.packbits(made, axis=1).view(U)))], names=["rep", "parities"])
+
+    return words.select("id", "words").mapInArrow(run, "rep long, parities array<bigint>")
+
+
+def _apart_by(x: str, y: str) -> Column:
+    """In how many classes of shingles two texts differ, by their parities; they differ in so many shingles at least."""
+    return sum((F.bit_count(F.col(x)[k].bitwiseXOR(F.col(y)[k])) for k in range(PARITIES)), F.lit(0))
+
+
 def rare_buckets(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Buckets of texts with a rare shingle in common: ``bucket, rep, n, root, index``.
 
@@ -234,7 +259,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, sketches: int
     Equal texts become one class before anything is compared. A bucket of texts with one sketch is never
     expanded into its pairs: all compare with one member, twice. Texts that then still share a bucket with
     texts of other groups go, whatever their number, through ``rare_buckets`` together with the short ones. It
-    loses no pair at the threshold and leaves out the pairs that only share a passage.
+    loses no pair at the threshold and leaves out the pairs that only share a passage. Of the pairs in one rare
+    bucket only those are listed whose parities leave the threshold possible.
     """
     made = stage(sketch_table(docs, sketches, sampled), "sketches")
     classes = stage(made.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.min("sketches").alias("sketches")), "classes")
@@ -279,9 +305,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, sketches: int
     rows = shingle_rows(words.join(left.select(F.col("rep").alias("id")), "id", "left_semi"))
     left = stage(_mixed(rare_buckets(rows, left, threshold)), "left")
     left = gathered(left)
-    # the shorter text by its index shingles, the other one by any
-    other = left.select("bucket", F.col("rep").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
+    open_words = words.join(left.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    left = stage(left.join(parity_table(open_words), "rep"), "left")
+    # the shorter text by its index shingles, the other one by any; texts that reach the threshold differ in so few shingles
+    other = left.select("bucket", F.col("rep").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"), F.col("parities").alias("parities_b"))
+    most = (F.col("n_a") + F.col("n_b")) * ((1 - threshold) / (1 + threshold)) + 1e-6
     pairs = left.where("index").withColumnsRenamed({"rep": "a", "n": "n_a"}).join(other, "bucket").where("root != root_b and n_a <= n_b and a != b")
+    pairs = pairs.where(_apart_by("parities", "parities_b") <= most)
     link(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n_a", "n_b"))
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(firsts.select("doc_id", "rep"), "doc_id", "left").join(roots, "rep", "left")
     group = F.coalesce("root", "rep", "doc_id")

@@ -193,3 +193,41 @@ def test_short_texts_of_one_template_meet_in_crowded_buckets(spark, documents):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     assert got == {i: find(i) for i in x}
+
+
+def test_unlike_texts_of_one_template_are_not_paired(spark, documents, monkeypatch):
+    """Each has three words of its own: rare shingles are common to all, and no two reach the threshold."""
+    base = words(50, 149, 10**6)
+    rows = []
+    for i in range(120):
+        text = list(base)
+        for k, at in enumerate(np.random.default_rng(700 + i).choice(14, 3, replace=False)):
+            text[at * 10 + 5] = f"own{i}x{k}"
+        rows.append((i, " ".join(text)))
+    listed, store = [], neardup.stage
+
+    def counted(df, purpose, *more):
+        out = store(df, purpose, *more)
+        if purpose == "pairs":
+            listed.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "stage", counted)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(documents(rows)).collect()}
+    x = {i: hashes(t.split()) for i, t in rows}
+    near = {(i, j) for i in x for j in range(i) if neardup.aligned(x[i], x[j]) >= 0.8}
+    assert all(got[i] == got[j] for i, j in near) and len(set(got.values())) >= len(x) - len(near)
+    assert listed[-1] <= 120  # of 7140
+
+
+def test_parities_never_rule_out_a_pair_at_the_threshold(spark):
+    texts = {}
+    for seed in range(150):
+        a = words(seed, 5 + 3 * seed, 12 if seed % 3 == 0 else 3000)
+        texts[2 * seed], texts[2 * seed + 1] = a, edited(a, seed, seed % 8)
+    x = {i: (hashes(t) >> np.uint64(32)).astype("<u4") for i, t in texts.items()}
+    made = neardup.parity_table(spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in x.items()], "id long, words binary"))
+    bits = {r.rep: [b & (2**64 - 1) for b in r.parities] for r in made.collect()}
+    for i, j in ((2 * k, 2 * k + 1) for k in range(150)):
+        a, b = (set(neardup.labelled(neardup.shingles(x[k])).tolist()) for k in (i, j))
+        assert sum((p ^ q).bit_count() for p, q in zip(bits[i], bits[j], strict=True)) <= len(a ^ b)
