@@ -98,3 +98,10 @@ def test_checks_of_one_entity_conform_it_once(spark, monkeypatch):
         ["protocol_no_std", "sponsor_external_id_std"],
         ["invoice_amount_std", "paid_amount_std", "outstanding_amount_std"],
     ]
+
+
+def test_the_last_history_is_not_stored(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(catalog, "staged", lambda df: stored.append(df.columns) or df)
+    columns = catalog.scd2_history(spark, SF).columns
+    assert stored.count(columns) == 1 and len(stored) == 3
