@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,11 @@ class ConformSpec:
     rules: Mapping[str, str] = field(default_factory=dict)
 
 
+def restricted(spec: ConformSpec, raw: Sequence[str]) -> ConformSpec:
+    """The same key and rules for tables that hold only these raw columns, which the key and rules have to do with."""
+    return replace(spec, standard={name: (form, column) for name, (form, column) in spec.standard.items() if column in raw})
+
+
 def standardize(df: DataFrame, mapping: Mapping[str, tuple[str, str]], null_as_blank: bool = False) -> DataFrame:
     """Add standardized columns beside the raw ones, all in one projection."""
     columns = {}

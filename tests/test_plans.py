@@ -105,3 +105,15 @@ def test_the_last_history_is_not_stored(spark, monkeypatch):
     monkeypatch.setattr(catalog, "staged", lambda df: stored.append(df.columns) or df)
     columns = catalog.scd2_history(spark, SF).columns
     assert stored.count(columns) == 1 and len(stored) == 3
+
+
+def test_the_report_stores_what_it_looks_at(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(catalog, "staged", lambda df: stored.append(df.columns) or df)
+    catalog.report_alerts(spark, SF)
+    lineage = ["batch_date", "ingestion_timestamp", "record_hash"]
+    assert sorted(stored, key=len) == [
+        ["invoice_amount_std", "outstanding_amount_std"],
+        ["contract_name", "protocol_no", "sponsor_external_id", "contract_value", *lineage],
+        ["invoice_id", "invoice_number", "sponsor_external_id", "invoice_amount", "paid_amount", "outstanding_amount", *lineage],
+    ]
