@@ -232,7 +232,7 @@ def rare_buckets(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFra
 
 
 def _verified(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` whose texts align to at least ``threshold``."""
+    """The pairs ``a, b`` whose texts align to at least ``threshold``; more than once where versions share an id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,7 +243,7 @@ def _verified(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame
     left = words.select(F.col("id").alias("b"), F.col("words").alias("y"))
     right = words.select(F.col("id").alias("a"), F.col("words").alias("x"))
     both = pairs.join(left, "b").join(right, "a").select("a", "b", "x", "y")
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, sketches: int = SKETCHES, sampled: int = SAMPLED) -> DataFrame:
@@ -277,18 +277,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, sketches: int
     wanted = left.select("rep").union(texts.where(F.col("n") <= SHORT).select("rep")).distinct()
     words = stage(_words_of(docs, wanted.withColumnRenamed("rep", "id")), "words")
 
-    links, roots, tested = versions, None, None
+    roots, tested = None, None
 
     def link(pairs: DataFrame) -> None:
-        """Test the pairs that were not tested yet, and add the links found."""
-        nonlocal links, roots, tested
+        """Test the pairs that were not tested yet, and join the groups that the links found lie between."""
+        nonlocal roots, tested
         pairs = _long_enough(pairs, threshold).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
-        links = stage(links.union(_verified(pairs, words, threshold)), "links")
-        roots = stage(components(links), "roots").withColumnRenamed("node", "rep")
+        links = _verified(pairs, words, threshold)
+        if roots is None:
+            roots = stage(components(versions.union(links)), "roots").withColumnRenamed("node", "rep")
+        else:
+            roots = stage(_joined(roots, stage(links, "links")), "roots")
 
     def gathered(left: DataFrame) -> DataFrame:
         """Compare the members of each bucket with one of them; what then belongs to different groups stays."""
@@ -318,6 +321,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, sketches: int
     return out.select("doc_id", group.alias("class_id"), F.coalesce(F.col("doc_id") == group, F.lit(True)).alias("kept"))
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The groups ``rep, root`` after further links ``a, b``: only the groups that these lie between are compared."""
+    between = links
+    for c in ("a", "b"):
+        own = roots.select(F.col("rep").alias(c), F.col("root").alias("_root"))
+        between = between.join(own, c, "left").withColumn(c, F.coalesce("_root", c)).drop("_root")
+    tops = stage(components(between), "tops").select(F.col("node").alias("rep"), F.col("root").alias("_top"))
+    moved = roots.join(tops.withColumnRenamed("rep", "root"), "root", "left").select("rep", F.coalesce("_top", "root").alias("root"))
+    return moved.union(tops.join(roots, "rep", "left_anti").select("rep", F.col("_top").alias("root")))
+
+
 def _mixed(rows: DataFrame) -> DataFrame:
     """The rows of buckets whose members belong to different groups.
 
