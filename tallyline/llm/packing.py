@@ -117,10 +117,20 @@ class WordEncoder:
         return self.flat[place], np.diff(upto[ends - ends[0]])
 
 
-def _encoder(path: str, cache: dict = {}) -> WordEncoder:  # noqa: B006  one for each Python worker
-    if path not in cache:
-        cache[path] = WordEncoder(path)
-    return cache[path]
+#: One encoder for each Python worker and tokenizer.
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def _encoder(path: str) -> WordEncoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
+
+
+def _forget() -> None:
+    """Give back what this Python worker holds for tokenizing; it serves later stages, too."""
+    _ENCODERS.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
@@ -356,7 +366,6 @@ def place(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
     ranges = _ranges(bin_completion(counts, capacity))
-    schema = T.StructType([*rows.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     salts = F.array(*(F.lit(-(-counts.get(k, 1) // RANK_ROWS)) for k in range(capacity + 1)))
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.element_at(salts, F.col("length").cast("int") + 1)))
     numbered = salted.withColumn("_own", F.row_number().over(Window.partitionBy("length", "_salt").orderBy("doc_id", "piece")) - 1)
@@ -364,21 +373,23 @@ def place(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ahead = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     ahead = ahead.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
     ranked = numbered.join(ahead, ["length", "_salt"]).select(*rows.columns, (F.col("_own") + F.col("_ahead")).alias("_rank"))
-    names = schema.names
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, rank = (np.asarray(batch.column(x)) for x in ("length", "_rank"))
+    @F.arrow_udf("struct<sequence_id: long, offset: long>")
+    def placed(lengths: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        _forget()  # the tokenizing is over
+        for length, rank in lengths:
+            length, rank = np.asarray(length), np.asarray(rank)
             sequence, offset = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
             for x in np.unique(length):
                 of, own = ranges[int(x)], np.flatnonzero(length == x)
                 first, base, each, start = of[np.searchsorted(of[:, 0], rank[own], "right") - 1].T
                 sequence[own] = base + (rank[own] - first) // each
                 offset[own] = start + (rank[own] - first) % each * x
-            kept = [batch.column(x) for x in names[:-2]]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], names=names)
+            yield pa.StructArray.from_arrays([pa.array(sequence), pa.array(offset)], names=["sequence_id", "offset"])
 
-    return ranked.mapInArrow(run, schema)
+    # only length and rank go through Python, the other columns wait beside it
+    found = ranked.withColumn("_place", placed("length", "_rank"))
+    return found.select(*rows.columns, "_place.sequence_id", "_place.offset")
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
