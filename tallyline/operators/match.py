@@ -19,8 +19,11 @@ from tallyline.functions import similarity_sql, weighted_score_sql
 from tallyline.operators.joins import filled_sql, key_entries
 from tallyline.operators.skew import frequent_items, hot_items, hot_keys, names_sql, skew_join
 
-# Distinct right-hand names held in one array row.
+# Distinct right-hand names held in one array row, and the probes that meet such an array in one place.
 BLOCK_SIZE = 2048
+PROBES = 256
+# Keys of more right rows than this look for names within so many edits by their deletions, before any are compared.
+NEAR_FROM = ((1, 64), (2, 512))
 # Similarity is rounded to four places.
 FOUR_PLACES = 0.00005
 # Level of a pair that meets no rule.
@@ -155,6 +158,37 @@ def _nameless_wins(spec: MatchSpec, names: Sequence[str]) -> str:
     return f"(_n_{names[0]} <> '' AND ({confidences[0]}) < ({confidences[1]}))"
 
 
+def _settled_within(spec: MatchSpec, name: str, edits: int) -> str:
+    """SQL: a right name within ``edits`` edits of the left one beats all names further away.
+
+    A name that is ``d`` edits away is at most ``d`` letters longer, so its similarity is at most 1 - d / (length + d).
+    """
+    weights = [d.weight for d in spec.dimensions]
+    near, far = f"round(1 - {edits} / greatest(length(_n_{name}), 1), 4)", f"round(1 - {edits + 1} / (length(_n_{name}) + {edits + 1}), 4)"
+    at_near, at_far = (weighted_score_sql(list(zip(_part_scores(spec, lambda c, at=at: at if c == name else None), weights))) for at in (near, far))
+    return f"(length(_n_{name}) > {edits} AND ({at_near}) > ({at_far}))"
+
+
+def _deletions_sql(value: str, edits: int) -> str:
+    """Hashes of all that is left of a text without up to ``edits`` of its characters."""
+    left = f"array({value})"
+    for _ in range(edits):
+        one = "transform(sequence(1, greatest(length(v), 1)), i -> concat(substring(v, 1, i - 1), substring(v, i + 1)))"
+        left = f"array_distinct(flatten(transform({left}, v -> array_append({one}, v))))"
+    return f"transform({left}, v -> xxhash64(v))"
+
+
+def near_names(probes: DataFrame, held: DataFrame, key: Sequence[str], name: str, edits: int) -> DataFrame:
+    """All pairs of a key that are at most ``edits`` edits apart: the probe's columns and ``_near``, perhaps repeated.
+
+    Two such texts are the same without so many characters of each, so they meet by a hash join. The names
+    that share what is left are as many as there are letters to put back, however crowded the key.
+    """
+    asked = probes.where(f"{name} <> ''").selectExpr(*key, name, f"explode({_deletions_sql(name, edits)}) AS _left")
+    there = held.where(f"{name} <> ''").selectExpr(*key, f"{name} AS _near", f"explode({_deletions_sql(name, edits)}) AS _left")
+    return asked.join(there, [*key, "_left"]).where(f"levenshtein({name}, _near, {edits}) >= 0").select(*key, name, "_near")
+
+
 def _as_it_is(df: DataFrame) -> DataFrame:
     return df
 
@@ -196,9 +230,11 @@ def best_match(
        same key and names score alike, so one of them is kept per key.
     2. A hash join finds a right row with the very same names. Such a pair scores 1.0 in every part and
        cannot be beaten. Left rows without one learn whether their key is there and how often.
-    3. Only these are compared with the names of their key. Those names lie in arrays of about ``block_size``,
-       so a crowded key is spread over many rows and tasks and no pair is ever a row. Equal probes are compared
-       once, and none where a row without a name, which is judged by the other parts alone, wins whatever the names.
+    3. Only these are compared with the names of their key. With ``stage`` and one name column, a crowded key
+       is first searched for names one and two edits away (``near_names``), which nothing further away can beat.
+       The other names lie in arrays of about ``block_size``, so a crowded key is spread over many rows and
+       tasks and no pair is ever a row. Equal probes are compared once, and none where a row without a name,
+       which is judged by the other parts alone, wins whatever the names.
     4. Ids that no key finds are compared by the fuzzy rule, if both sides have its columns: names that are
        similar in all of them meet on rare grams (``similar_tuples``), so no key is shared and no pair missed.
 
@@ -270,22 +306,45 @@ def best_match(
     open_rows = nearest.where(f"_state = {OPEN}")
     if names and not (staging and open_rows.isEmpty()):
         open_probes = open_rows.select(*key, "_size", *n_cols).distinct()
-        open_keys = stage(open_probes.select(*key, "_size").distinct())
-        blocks = (
+        open_keys = stage(open_probes.groupBy(*key, "_size").agg(F.count("*").alias("_asked")))
+        held = (
             skew_join(entries(rights, "r_").select(*key, *n_cols, "_right"), open_keys, key, hot=crowded_right)
-            .groupBy(*key, "_size", *n_cols)
+            .groupBy(*key, "_size", "_asked", *n_cols)
             .agg(F.expr("min(_right) AS _right"))
-            .selectExpr("*", f"pmod(xxhash64({', '.join(n_cols)}), ceil(_size / {block_size})) AS _block")
-            .groupBy(*key, "_block")
+        )
+        open_probes = skew_join(open_probes.drop("_size"), open_keys, key, hot=crowded_left)
+        near = []
+        if staging and len(names) == 1 and not open_keys.where(f"_size > {NEAR_FROM[0][1]}").isEmpty():
+            held, open_probes = stage(held), stage(open_probes)
+            for edits, size in NEAR_FROM:
+                there = held.where(f"_size > {size}")
+                asked = open_probes.where(f"_size > {size} AND {_settled_within(spec, names[0], edits)}")
+                pairs = stage(near_names(asked, there, key, n_cols[0], edits).distinct())
+                # a right row without a name is judged by the other parts, so it is looked at beside them
+                pairs = pairs.unionByName(pairs.select(*key, *n_cols, F.lit("").alias("_near")).distinct())
+                members = there.selectExpr(*key, f"{n_cols[0]} AS _near", f"struct({n_cols[0]}, _right) AS _member")
+                met = pairs.join(members, [*key, "_near"]).selectExpr(*key, *n_cols, f"{_best_of(spec, names, 'array(_member)')} AS _best")
+                near.append(stage(met.groupBy(*key, *n_cols).agg(F.expr("min(_best) AS _best"))))
+                open_probes = stage(open_probes.join(near[-1].select(*key, *n_cols), [*key, *n_cols], "left_anti"))
+        # a block of names and some probes at a time, dealt out by their number: they are few bytes and much work
+        places = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        unit = [*key, "_block", "_part"]
+        blocks = (
+            held.selectExpr("*", f"pmod(xxhash64({', '.join(n_cols)}), ceil(_size / {block_size})) AS _block")
+            .groupBy(*key, "_asked", "_block")
             .agg(F.expr(f"collect_list(struct({', '.join([*n_cols, '_right'])})) AS _members"))
-            .drop("_block")
+            .selectExpr(*key, "_block", "_members", f"explode(sequence(0L, ceil(_asked / {PROBES}) - 1)) AS _part")
+        )
+        probes = open_probes.selectExpr(
+            *key, *n_cols, f"explode(sequence(0L, ceil(_size / {block_size}) - 1)) AS _block",
+            f"pmod(xxhash64({', '.join(n_cols)}), ceil(_asked / {PROBES})) AS _part",
         )
         compared = (
-            skew_join(open_probes.drop("_size"), blocks, key, hot=crowded_left, hot_right=crowded_right)
+            probes.repartition(places, *unit)
+            .join(blocks.repartition(places, *unit), unit)
             .selectExpr(*key, *n_cols, f"{_best_of(spec, names, '_members')} AS _best")
-            .groupBy(*key, *n_cols)
-            .agg(F.expr("min(_best) AS _best"))
         )
+        compared = reduce(DataFrame.unionByName, near, compared).groupBy(*key, *n_cols).agg(F.expr("min(_best) AS _best"))
         searched = skew_join(
             open_rows.select(*l_cols, *key, *n_cols), compared, [*key, *n_cols], hot=crowded_left, hot_on=key
         )

@@ -9,7 +9,7 @@ from tallyline import sources
 from tallyline.functions import similarity
 from tallyline.operators import metrics
 from tallyline.operators.joins import prefixed
-from tallyline.operators.match import Dimension, MatchSpec, best_match, score_pairs, similar_tuples, similar_values
+from tallyline.operators.match import Dimension, MatchSpec, best_match, near_names, score_pairs, similar_tuples, similar_values
 from tallyline.plans import trials
 from tests.fixtures import FEEDS, LABELS, land
 
@@ -229,3 +229,33 @@ def test_rows_that_a_level_meets_ask_no_later_level(spark):
     for stage in (None, sources.staged):
         got = best_match(left, right, SPEC, "lid", [F.col("rid")], stage=stage)
         assert sorted((r.l_lid, r.r_rid, r.match_level) for r in got.collect()) == [("A", "1", 1), ("B", "1", 2), ("C", "3", 3)]
+
+
+def test_a_crowded_key_is_not_compared_name_by_name(spark):
+    rng = random.Random(5)
+    word = lambda k: "".join(rng.choice("ABé1") for _ in range(k))
+    rights = [f"STUDY MEDIUM {10 ** 6 + 37 * i}" for i in range(600)] + [word(rng.randint(1, 7)) for _ in range(60)]
+    near = [x.replace("U", "", 1) for x in rights[:200]] + [x + "77" for x in rights[200:260]] + [word(rng.randint(1, 7)) for _ in range(60)]
+    lefts = [*near, "SOMETHING ELSE", "", None]
+    left = sources.staged(spark.createDataFrame([(f"l{i}", "a", x) for i, x in enumerate(lefts)], "lid string, sp string, study string"))
+    right = sources.staged(spark.createDataFrame([(f"r{i}", "a", x, i % 7) for i, x in enumerate(rights)], "rid string, sp string, study string, seq long"))
+    put = []
+    got = best_match(left, right, SPEC, "lid", [F.col("seq"), F.col("rid")], block_size=64, stage=lambda df: put.append(sources.staged(df)) or put[-1])
+    by_all = score_pairs(prefixed(left, "l_").crossJoin(prefixed(right, "r_")), SPEC)
+    order = Window.partitionBy("l_lid").orderBy("match_level", F.desc("overall_match_confidence"), F.desc("scored_dims"), "r_seq", "r_rid")
+    columns = ["l_lid", "r_rid", "match_level", "overall_match_confidence", "scored_dims"]
+    expected = sorted(map(tuple, by_all.withColumn("rn", F.row_number().over(order)).where("rn = 1").select(*columns).collect()))
+    assert sorted(map(tuple, got.select(*columns).collect())) == expected
+    # names within two edits are found by what is left of them; only the others are compared with all
+    compared = [x for x in put if "_asked" in x.columns and "_n_study" in x.columns and "_right" not in x.columns]
+    assert compared and compared[-1].where("_n_study like 'ST%'").count() == 0
+
+
+@pytest.mark.parametrize("edits", [1, 2])
+def test_near_names_miss_nothing(spark, edits):
+    rng = random.Random(edits)
+    word = lambda: "".join(rng.choice("ABé") for _ in range(rng.randint(0, 6)))
+    left, right = (spark.createDataFrame([(rng.choice("xy"), word()) for _ in range(100)], "k string, n string").distinct() for _ in range(2))
+    got = near_names(left, right, ["k"], "n", edits).distinct()
+    every = left.join(right.withColumnRenamed("n", "_near"), "k").where(f"n <> '' AND _near <> '' AND levenshtein(n, _near) <= {edits}")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, every.select("k", "n", "_near").collect())) != []
