@@ -41,6 +41,7 @@ PIECE = T.StructType(
         T.StructField("ids", T.BinaryType()),
     ]
 )
+DIGEST = T.StructField("ids_crc32", T.LongType())
 
 
 def default_tokenizer() -> str:
@@ -133,14 +134,16 @@ def _forget() -> None:
     pa.default_memory_pool().release_unused()
 
 
-def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """``doc_id, text`` to one row per piece: ``doc_id, piece, start, length, ids``.
+def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, digest: bool = False) -> DataFrame:
+    """``doc_id, text`` to one row per piece: ``doc_id, piece, start, length, ids``, with ``digest`` also ``ids_crc32``.
 
     A document is its token ids and one separator id at the end; a null or empty text is the separator
     alone. Documents above ``capacity`` are cut into pieces of ``capacity`` ids, the last may be shorter.
-    ``ids`` holds unsigned little-endian 32-bit ids. Repeated rows give their pieces again.
+    ``ids`` holds unsigned little-endian 32-bit ids, ``ids_crc32`` their unsigned CRC-32. Repeated rows give their
+    pieces again.
     """
     path = tokenizer or default_tokenizer()
+    schema = T.StructType([*PIECE.fields, DIGEST]) if digest else PIECE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -166,18 +169,19 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                 binary = pa.LargeBinaryArray.from_buffers(
                     pa.large_binary(), len(row), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids)]
                 )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(row)),
-                        pa.array(piece.astype(np.int32)),
-                        pa.array(start.astype(np.int64)),
-                        pa.array(length.astype(np.int64)),
-                        binary.cast(pa.binary()),
-                    ],
-                    names=PIECE.names,
-                )
+                columns = [
+                    batch.column(0).take(pa.array(row)),
+                    pa.array(piece.astype(np.int32)),
+                    pa.array(start.astype(np.int64)),
+                    pa.array(length.astype(np.int64)),
+                    binary.cast(pa.binary()),
+                ]
+                if digest:
+                    whole_ids, ends = memoryview(ids).cast("B"), offsets.tolist()
+                    columns.append(pa.array([zlib.crc32(whole_ids[a:b]) for a, b in zip(ends, ends[1:])], pa.int64()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECE)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
 # Packing works on counts of lengths, of which there are at most as many as the capacity. A pattern is the
@@ -411,9 +415,9 @@ def digests(placed: DataFrame) -> DataFrame:
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens: a row per piece with its place.
 
-    The ids are stored with the pieces; only their digests travel through the numbering.
+    The ids are stored with the pieces and their digests; only the digests travel through the numbering.
     """
-    return place(stage(digests(stage(pieces(table(spark, sf_dir, "documents")), "pieces")), "digests"))
+    return place(stage(pieces(table(spark, sf_dir, "documents"), digest=True), "pieces").drop("ids"))
 
 
 def sequences(placed: DataFrame) -> DataFrame:

@@ -116,3 +116,12 @@ def test_encoder_keeps_its_cache_in_bounds(monkeypatch):
         flat, sizes = encoder.encode(pa.array([text, None]))
         assert flat.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids and sizes.tolist() == [len(flat), 0]
     assert len(encoder.known) <= 10
+
+
+def test_digests_come_with_the_pieces(documents, messy):
+    made = packing.pieces(documents(messy).select("doc_id", "text"), digest=True)
+    assert made.columns == [*packing.PIECE.names, "ids_crc32"]
+    got = made.collect()
+    assert got and all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in got)
+    plain = packing.pieces(documents(messy).select("doc_id", "text")).collect()
+    assert sorted(map(str, plain)) == sorted(str(r) for r in made.drop("ids_crc32").collect())
