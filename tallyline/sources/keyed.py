@@ -22,6 +22,8 @@ from tallyline.operators import changes as cdc
 PART = "key_part"
 LIST = "key_part int, holder string"
 SCHEMA_ROW = -1
+# Record hashes are hexadecimal text, which only a codec with an entropy stage makes smaller.
+CODEC = "zstd"
 WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
 
 
@@ -99,7 +101,7 @@ class KeyedTable:
 
     def _write(self, dealt: DataFrame, version: str, others: dict[int, str], tasks: int) -> None:
         folder = self._folder(version)
-        dealt.repartition(max(1, tasks), PART).write.mode("overwrite").partitionBy(PART).parquet(folder)
+        dealt.repartition(max(1, tasks), PART).write.option("compression", CODEC).mode("overwrite").partitionBy(PART).parquet(folder)
         written = {int(x.partition("=")[2]): version for x in child_folders(self.spark, folder)}
         holders = {p: v for p, v in others.items() if p not in written} | written
         rows = [(SCHEMA_ROW, dealt.drop(PART).schema.json()), *sorted(holders.items())]

@@ -1,5 +1,6 @@
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,3 +119,9 @@ def test_unused_parts_are_dropped(spark, made):
     dropped = made.drop_unused(["2"])
     assert len(dropped) == 1 and made.versions() == ["2"]
     assert rows_of(made.read("2")) == expected(latest)
+
+
+def test_parts_are_stored_by_a_codec_that_makes_hashes_smaller(spark, made):
+    stored = [f for f in files(made.root) if "version=1" in f and "/_" not in f]
+    codecs = {pq.ParquetFile(f).metadata.row_group(0).column(i).compression for f in stored for i in range(4)}
+    assert codecs == {"ZSTD"} and rows_of(made.read("1")) == expected(base_rows())
