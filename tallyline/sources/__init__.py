@@ -30,7 +30,10 @@ from tallyline.sources.sinks import (
     export_changes,
     overwrite_table,
     shared_dir,
+    shuffles_dropped,
     staged,
+    staging,
+    store,
     write_conformed,
     write_version,
 )
@@ -59,7 +62,10 @@ __all__ = [
     "read_published",
     "read_table",
     "shared_dir",
+    "shuffles_dropped",
     "staged",
+    "staging",
+    "store",
     "string_schema",
     "well_formed",
     "with_record_hash",
