@@ -18,32 +18,52 @@ LENGTH = 50
 GRAM = 16
 #: Bytes of contexts in one transform.
 TRANSFORM = 1 << 21
+#: Windows whose grams are hashed at once, so that the numbers stay in a core's cache.
+BLOCK = 1 << 15
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 
 
+def _ordered(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys of so many bits, and the keys in that order.
+
+    Where there is room for it in 64 bits, the position is put behind the key: plain numbers are sorted much faster.
+    """
+    place = len(key).bit_length()
+    if bits + place > 64:
+        order = np.argsort(key)
+        return order, key[order]
+    both = np.sort(key << U(place) | np.arange(len(key), dtype=U))
+    return (both & U((1 << place) - 1)).astype(np.int64), both >> U(place)
+
+
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Positions of ``text`` (bytes above 0, 0 between strings) in the order of their first ``depth`` symbols.
 
-    Prefix doubling: seven symbols of nine bits make a first rank, and pairs of ranks double the depth.
+    Prefix multiplication: the first symbols, of nine bits each, make a first rank, and the ranks of the symbols after them
+    are put behind it, as many as fit, but one at least. Positions that agree so far come in any order.
     """
     n = len(text)
-    wide = np.concatenate([text, np.zeros(7, text.dtype)]).astype(U)
-    key = np.zeros(n, U)
-    for k in range(7):
+    room = 64 - n.bit_length()
+    reach = room // 9
+    wide = np.concatenate([text, np.zeros(reach, text.dtype)]).astype(U)
+    key, bits = np.zeros(n, U), 9 * reach
+    for k in range(reach):
         key = key << U(9) | wide[k : n + k]
-    reach = 7
     while True:
-        order = np.argsort(key, kind="stable")
-        if reach >= depth:
+        order, step = _ordered(key, bits)
+        if reach >= depth or not n:
             return order
-        step = key[order]
+        rank = np.cumsum(np.concatenate([[True], step[1:] != step[:-1]])).astype(U)  # from 1; 0 is behind the end
         dense = np.zeros(n, U)
-        dense[order] = np.cumsum(np.concatenate([[0], step[1:] != step[:-1]])).astype(U)
-        after = np.zeros(n, U)
-        after[: max(n - reach, 0)] = dense[reach:] + U(1)
-        key = dense << U(32) | after
-        reach *= 2
+        dense[order] = rank
+        bits = int(rank[-1]).bit_length()
+        times = max(2, room // bits)
+        key = dense
+        for k in range(1, times):
+            key = key << U(bits)
+            key[: max(n - k * reach, 0)] |= dense[k * reach :]
+        reach, bits = reach * times, bits * times
 
 
 def common_intervals(text: np.ndarray, length: int) -> np.ndarray:
@@ -58,25 +78,37 @@ def common_intervals(text: np.ndarray, length: int) -> np.ndarray:
     do not extend over a 0; it parts from everything.
     """
     n = len(text)
+    small = np.int32 if n < 1 << 31 else np.int64
     order = suffix_order(text, length)
-    row = np.empty(n + 1, np.int64)
-    row[order] = np.arange(n)
-    row[n] = -1
+    row = np.empty(n + 1, small)
+    row[order] = np.arange(n, dtype=small)
+    row[n] = n  # parts from everything
     after = row[order + 1]  # row of the suffix one symbol later
     symbol = text[order]
-    parted = np.ones(n, bool)
-    parted[1:] = (symbol[1:] != symbol[:-1]) | (symbol[1:] == 0)
-    active = np.flatnonzero(~parted)
+    parted = np.ones(n + 1, bool)
+    parted[1:n] = (symbol[1:] != symbol[:-1]) | (symbol[1:] == 0)
+    active = np.flatnonzero(~parted).astype(small)
+    a, b = after[active], after[active - 1]
+    # successors are often neighbours themselves, and have parted if the second one is marked; others are looked up in a count
+    beside = a - b == 1
+    near, its, far, a, b = active[beside], a[beside], active[~beside], a[~beside], b[~beside]
+    count = np.empty(n + 1, small)
+    ended = 0  # rows that have parted since they were last left out
     for _ in range(1, length):
-        if not len(active):
+        np.cumsum(parted, out=count)
+        one, other = np.flatnonzero(parted[its]), np.flatnonzero(count[a] != count[b])
+        if len(one) + len(other) == ended:  # none has parted in this round, so none will
             break
-        interval = np.cumsum(parted)
-        a, b = after[active], after[active - 1]
-        apart = (a < 0) | (b < 0) | (interval[a] != interval[b])
-        parted[active[apart]] = True
-        active = active[~apart]
+        parted[near[one]] = True
+        parted[far[other]] = True
+        ended = len(one) + len(other)
+        if 4 * ended > len(near) + len(far):
+            kept = ~parted[near]
+            near, its = near[kept], its[kept]
+            kept = ~parted[far]
+            far, a, b, ended = far[kept], a[kept], b[kept], 0
     out = np.empty(n, np.int64)
-    out[order] = np.cumsum(parted) - 1
+    out[order] = np.cumsum(parted[:n]) - 1
     return out
 
 
@@ -84,19 +116,43 @@ def _gram_hashes(x: np.ndarray) -> np.ndarray:
     """Hash of the GRAM bytes at each position, by doubling."""
     h, size, power = x.astype(U) + U(1), 1, BASE
     while size < GRAM:
-        h = h[:-size] * U(power) + h[size:]
+        longer = h[..., :-size] * U(power)
+        longer += h[..., size:]
+        h = longer
         power = power * power % (1 << 64)
         size *= 2
     return mix64(h)
 
 
 class ByteWindows:
-    """Windows of bytes keyed by their least-hashed gram, compared by interval expansion."""
+    """Windows of bytes keyed by their least-hashed gram, compared by interval expansion.
+
+    The last bits of a gram's hash give way to its place in the window, so that the least number is the leftmost of
+    the grams with the least hash.
+    """
 
     def __init__(self, length: int = LENGTH):
         if length < GRAM:
             raise ValueError(f"length must be at least {GRAM}")
         self.length = length
+        self.width = length - GRAM + 1  # grams of a window
+        self.place = U(self.width.bit_length())
+
+    def _hashes(self, x: np.ndarray) -> np.ndarray:
+        return _gram_hashes(x) >> self.place << self.place
+
+    def _least(self, x: np.ndarray) -> np.ndarray:
+        """The least gram of the window at each position."""
+        out = np.empty(len(x) - self.length + 1, U)
+        for begin in range(0, len(out), BLOCK):
+            value, size = self._hashes(x[begin : begin + BLOCK + self.length - 1]), 1
+            while size < self.width:  # least of size grams
+                step = min(size, self.width - size)
+                later = value[step:] + U(step)
+                value = np.minimum(value[:-step], later, out=later)
+                size += step
+            out[begin : begin + len(value)] = value
+        return out
 
     def runs(self, texts: pa.Array) -> tuple[Runs, Callable[[np.ndarray], pa.Array]]:
         raw = texts.fill_null("").cast(pa.large_binary())
@@ -106,22 +162,20 @@ class ByteWindows:
         empty = np.empty(0, np.int64)
         if len(x) < self.length:
             return Runs(empty, empty.astype(U), empty, empty), lambda chosen: pa.array([], pa.large_binary())
-        h = _gram_hashes(x)
-        width = self.length - GRAM + 1  # grams of a window
-        value, place, size = h, np.arange(len(h), dtype=np.int32), 1
-        while size < width:  # least of size grams, leftmost among equals
-            step = min(size, width - size)
-            left = value[:-step] <= value[step:]
-            value, place = np.where(left, value[:-step], value[step:]), np.where(left, place[:-step], place[step:])
-            size += step
+        least = self._least(x)
+        anchor = np.arange(len(least)) + (least & U((1 << int(self.place)) - 1)).astype(np.int64)
         n = np.maximum(np.diff(offsets) - self.length + 1, 0)  # windows of each text
-        doc = np.repeat(np.arange(len(n)), n)
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + offsets[doc]
-        anchor = place[at]
-        head = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])])) if len(at) else empty
-        count = np.diff(np.append(head, len(at)))
-        begin = at[head]
-        runs = Runs(doc[head], value[begin], begin - offsets[doc[head]], count)
+        ends = np.append(np.concatenate([offsets[:-1], offsets[:-1] + n]), 0)  # of texts and of their windows
+        fresh = np.empty(len(anchor) + 1, bool)
+        fresh[1:-1] = anchor[1:] != anchor[:-1]
+        fresh[ends[ends < len(anchor)]] = True
+        fresh[-1] = True
+        head = np.flatnonzero(fresh)
+        count, head = np.diff(head), head[:-1]
+        doc = np.searchsorted(offsets, head, "right") - 1
+        inside = head - offsets[doc] < n[doc]
+        begin, count, doc = head[inside], count[inside], doc[inside]
+        runs = Runs(doc, mix64(least[begin] >> self.place), begin - offsets[doc], count)
 
         def content(chosen: np.ndarray) -> pa.Array:
             """The bytes that the windows of each chosen run cover."""
@@ -176,16 +230,11 @@ class ByteWindows:
         """Hash of each string's anchor: the least of the grams of its first window, as of every other one."""
         if len(offsets) < 2:
             return np.empty(0, U)
-        out = np.full(len(offsets) - 1, U(0xFFFFFFFFFFFFFFFF))
-        for begin in range(0, len(out), 50_000):
-            first = offsets[begin : min(begin + 50_000, len(out))]
-            window = x[first[:, None] + np.arange(self.length)]
-            h, size, power = window.astype(U) + U(1), 1, BASE
-            while size < GRAM:
-                h = h[:, :-size] * U(power) + h[:, size:]
-                power = power * power % (1 << 64)
-                size *= 2
-            out[begin : begin + len(first)] = mix64(h).min(1)
+        out = np.empty(len(offsets) - 1, U)
+        for begin in range(0, len(out), 1000):
+            first = offsets[begin : min(begin + 1000, len(out))]
+            grams = self._hashes(x[first[:, None] + np.arange(self.length)]) + np.arange(self.width, dtype=U)
+            out[begin : begin + len(first)] = grams.min(1) >> self.place
         return out
 
     def _expand(self, chosen: np.ndarray, x: np.ndarray, offsets: np.ndarray, size: np.ndarray, windows: np.ndarray, base: np.ndarray, least: np.ndarray, earliest: np.ndarray) -> None:
