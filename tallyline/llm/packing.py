@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.llm.common import stage, table
+from tallyline.llm.common import parts, stage, table
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -25,10 +25,12 @@ SEPARATOR = 0
 SEARCH_NODES = 4000
 #: Undominated fillings tried at a node, fullest first.
 BREADTH = 6
-#: Rows of one length that are numbered together; longer runs are numbered in salted parts of this size.
+#: Most rows of one length that are numbered together; longer runs are numbered in salted parts of this size.
 RANK_ROWS = 50_000
-#: Distinct words a Python worker keeps with their ids.
-CACHED_WORDS = 700_000
+#: Such parts hold no more than an even share of the rows and of the ids, cut for so many parts to a shuffle partition.
+FINER = 8
+#: Distinct words a Python worker keeps with their ids, and units of words.
+CACHED_WORDS, CACHED_UNITS = 700_000, 150_000
 #: Rows tokenized together, so that memory follows this and not the Arrow batch.
 ROWS_AT_ONCE = 1000
 
@@ -84,6 +86,8 @@ class WordEncoder:
         else:
             normal = self.tokenizer.normalizer.normalize_str(word)
             units = [x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+        if len(self.units) + len(units) > CACHED_UNITS:
+            self.units.clear()
         ids = []
         for unit in units:
             own = self.units.get(unit)
@@ -359,18 +363,30 @@ def _ranges(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray
     return {length: np.asarray(x, np.int64) for length, x in rows.items()}
 
 
+def numbered_apart(counts: dict[int, int], places: int) -> dict[int, int]:
+    """Into how many parts the rows of each length are dealt for numbering.
+
+    A part takes no more than its share of all rows, and no more than its share of their ids, which may travel with
+    them: rows of one length are the larger part of a corpus of long texts.
+    """
+    rows, volume = max(1, sum(counts.values())), max(1, sum(length * n for length, n in counts.items()))
+    shares = FINER * places
+    return {length: max(-(-n // RANK_ROWS), -(-n * shares // rows), -(-n * length * shares // volume), 1) for length, n in counts.items()}
+
+
 def place(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Give every row a place: its columns with ``sequence_id, offset`` added.
 
     ``rows`` has ``doc_id, piece, length`` (1 to ``capacity``) and any columns besides ``sequence_id`` and
     ``offset``. Only the counts of lengths, at most ``capacity`` numbers, reach the driver, which solves
-    the packing on them. Rows are numbered within their length, long runs of one length in salted parts,
+    the packing on them. Rows are numbered within their length, which are many rows or ids in salted parts,
     and a row's number says which sequence it goes to. Rows equal in doc_id and piece are interchangeable.
     An empty table gives an empty result.
     """
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
     ranges = _ranges(bin_completion(counts, capacity))
-    salts = F.array(*(F.lit(-(-counts.get(k, 1) // RANK_ROWS)) for k in range(capacity + 1)))
+    apart = numbered_apart(counts, parts(rows.sparkSession))
+    salts = F.array(*(F.lit(apart.get(k, 1)) for k in range(capacity + 1)))
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.element_at(salts, F.col("length").cast("int") + 1)))
     numbered = salted.withColumn("_own", F.row_number().over(Window.partitionBy("length", "_salt").orderBy("doc_id", "piece")) - 1)
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
